@@ -22,15 +22,16 @@ def per_class(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] =
     undefined ratios are 0.
     """
     cc = confusion_counts(pred, y, p, by)
-    true_tot = cc.groupBy(*by, F.col("y").alias("label")).agg(F.sum("n").alias("support"))
-    pred_tot = cc.groupBy(*by, F.col("p").alias("label")).agg(F.sum("n").alias("n_pred"))
-    tp = cc.filter(F.col("y") == F.col("p")).select(*by, F.col("y").alias("label"), F.col("n").alias("tp"))
-    keys = [*by, "label"]
-    t = (true_tot.join(pred_tot, keys, "full").join(tp, keys, "left")
-         .select(*keys,
-                 F.coalesce("tp", F.lit(0)).alias("tp"),
-                 F.coalesce("support", F.lit(0)).alias("support"),
-                 F.coalesce("n_pred", F.lit(0)).alias("n_pred")))
+    # each confusion cell feeds its true class (support, tp) and its predicted
+    # class (n_pred): one explode and one aggregate, classes never seen on one
+    # side keep zeros on that side
+    both = F.explode(F.array(
+        F.struct(F.col("y").alias("label"), F.col("n").alias("support"), F.lit(0).cast("long").alias("n_pred"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0)).cast("long").alias("tp")),
+        F.struct(F.col("p").alias("label"), F.lit(0).cast("long").alias("support"), F.col("n").alias("n_pred"),
+                 F.lit(0).cast("long").alias("tp")))).alias("_e")
+    t = (cc.select(*by, both).groupBy(*by, F.col("_e.label").alias("label"))
+         .agg(F.sum("_e.tp").alias("tp"), F.sum("_e.support").alias("support"), F.sum("_e.n_pred").alias("n_pred")))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     t = t.withColumn("precision", prec).withColumn("recall", rec)

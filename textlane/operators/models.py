@@ -33,7 +33,7 @@ class NaiveBayesModel:
                                spark.read.parquet(f"{path}/terms"), alpha)
 
 
-def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column,
+def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column | int,
                     alpha: float = 1.0, key: str = "doc_id", label: str = "label",
                     weight: str = "w") -> NaiveBayesModel:
     """Multinomial NB on a long feature table ``(key, term, weight)``.
@@ -48,6 +48,7 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column,
     docs = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
     n = lab.select(F.count(F.lit(1))).scalar()
     a = F.lit(float(alpha))
+    vocab_size = F.lit(vocab_size) if isinstance(vocab_size, int) else vocab_size
     classes = (docs.join(per_class, "label", "left")
                .withColumn("total", F.coalesce("total", F.lit(0.0)))
                .withColumn("log_prior", F.log(F.col("n_docs") / n))
@@ -59,6 +60,19 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column,
     return NaiveBayesModel(classes, terms, alpha)
 
 
+MAX_CLASSES = 100_000
+
+
+def class_array(model: NaiveBayesModel) -> Column:
+    """The class table as one literal array column (one row per class, size-checked)."""
+    rows = (model.classes.select("label", "log_prior", "default_log_theta")
+            .orderBy("label").limit(MAX_CLASSES + 1).collect())
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.lit(float(r["log_prior"])).alias("log_prior"),
+                              F.lit(float(r["default_log_theta"])).alias("default_log_theta")) for r in rows])
+
+
 def naive_bayes_scores(features: DataFrame, docs: DataFrame, model: NaiveBayesModel,
                        key: str = "doc_id", weight: str = "w") -> DataFrame:
     """Joint log-likelihood ``(key, label, score)`` for every document and class.
@@ -67,8 +81,8 @@ def naive_bayes_scores(features: DataFrame, docs: DataFrame, model: NaiveBayesMo
     The class list is a scalar subquery (one small array), exploded per
     document; the seen-pair part is one join on ``term``.
     """
-    classes = model.classes.select(
-        F.sort_array(F.collect_list(F.struct("label", "log_prior", "default_log_theta")))).scalar()
+    classes = class_array(model)
+    features = features.join(docs.select(key), key, "left_semi")
     sums = features.groupBy(key).agg(F.sum(weight).alias("_sx"))
     base = (docs.select(key).join(sums, key, "left")
             .select(key, F.coalesce("_sx", F.lit(0.0)).alias("_sx"), F.explode(classes).alias("_c"))

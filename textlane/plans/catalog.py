@@ -34,18 +34,39 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
+def docs_by_id(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """Documents hash-partitioned by ``doc_id``.
+
+    Texts are few rows with a lot of bytes each; spreading them by id gives
+    the tokenizer parallel tasks, and because every later per-document step
+    (term counts, the L2 norm) is clustered by ``doc_id``, this one shuffle of
+    raw text replaces the shuffles of the (much longer) token stream.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return docs(spark, d).select("doc_id", *cols).repartition(n, "doc_id")
+
+
 def clean_tokens(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, *keep, pos, term)`` after tokenizing and English stop-word removal."""
-    t = text.remove_stopwords(text.tokenize(docs(spark, d).select("doc_id", *keep, "text")))
+    t = text.remove_stopwords(text.tokenize(docs_by_id(spark, d, *keep, "text")))
     return text.explode_tokens(t, "doc_id", "tokens", keep)
 
 
-def tfidf_features(spark: SparkSession, d: str):
-    """(features ``(doc_id, term, tf, w)``, vocabulary, n_docs, vocab size) over all documents."""
+def tfidf_features(spark: SparkSession, d: str, materialize: bool = False):
+    """(features ``(doc_id, term, tf, w)``, vocabulary, n_docs, vocab size) over all documents.
+
+    With ``materialize`` the TF-IDF table is written once to the shared
+    checkpoint folder (it feeds both fitting and scoring, and the tokenizer
+    is the costly part); the vocabulary size then comes from that table.
+    """
     tf = feat.term_counts(clean_tokens(spark, d))
     vocab = feat.vocabulary(tf)
     n = feat.doc_count(docs(spark, d))
-    return feat.tfidf(tf, feat.with_idf(vocab, n)), vocab, n, vocab.select(F.count(F.lit(1))).scalar()
+    x = feat.tfidf(tf, feat.with_idf(vocab, n))
+    if materialize:
+        x = x.checkpoint()
+        return x, vocab, n, int(x.select(F.countDistinct("term")).first()[0])
+    return x, vocab, n, vocab.select(F.count(F.lit(1))).scalar()
 
 
 def lang_split(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +81,7 @@ def quality_split(spark: SparkSession, d: str) -> DataFrame:
 
 def nb_predictions(spark: SparkSession, d: str, split: DataFrame, alpha: float = 1.0):
     """Fit NB on the train rows of ``split`` and score all its rows: (pred, proba long)."""
-    x, _, _, v = tfidf_features(spark, d)
+    x, _, _, v = tfidf_features(spark, d, materialize=True)
     model = models.fit_naive_bayes(x, split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")),
                                    v, alpha)
     pr = models.predict_naive_bayes(x, split.select("doc_id"), model, digits=PROBA_DIGITS)
@@ -117,7 +138,7 @@ def s10_runstore_scan(spark, d):
     ev = table(spark, d, "events")
     lines = ev.select(F.lit("0").alias("exp"), F.col("user_id").cast("string").alias("run"),
                       F.col("event_type").alias("key"),
-                      F.concat_ws(" ", F.unix_micros(F.col("ts").cast("timestamp")).cast("string"),
+                      F.concat_ws(" ", F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
                                   F.col("value").cast("string"), F.col("event_id").cast("string")).alias("line"))
     lines.write.partitionBy("exp", "run", "key").text(root)
     m = files.scan_run_metrics(spark, root, r"/exp=([^/]+)/run=([^/]+)/key=([^/]+)/[^/]+$")
@@ -281,7 +302,7 @@ def f11_label_encode(spark, d):
 # models ------------------------------------------------------------------
 
 def m1_nb_fit(spark, d):
-    x, _, _, v = tfidf_features(spark, d)
+    x, _, _, v = tfidf_features(spark, d, materialize=True)
     sp = lang_split(spark, d)
     model = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
     return model.terms.join(model.classes.select("label", "log_prior"), "label").select(
@@ -300,7 +321,7 @@ def m2_nb_proba(spark, d):
 
 def m9_batch_score(spark, d):
     """Fit, save the model tables, load them back and score the test rows."""
-    x, _, _, v = tfidf_features(spark, d)
+    x, _, _, v = tfidf_features(spark, d, materialize=True)
     sp = lang_split(spark, d)
     model = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
     path = fresh_path(spark, "nbmodel")

@@ -179,9 +179,10 @@ def build() -> dict[str, str]:
                              "CAST(sum(length(text)) AS BIGINT) AS sum_length FROM documents GROUP BY lang")
     q["s5_label_map"] = "SELECT CAST(r_regionkey AS VARCHAR) AS idx, r_name AS label FROM region"
     q["s6_snapshot_roundtrip"] = (with_(LANG_SPLIT) + "SELECT y AS lang, count(*) AS n_test FROM sp WHERE split = 'test' GROUP BY y")
-    q["s10_runstore_scan"] = ("SELECT user_id, event_type AS key, count(*) AS n_values, "
-                              "round(arg_max(value, epoch_us(ts) * 1000000000 + event_id), 6) AS last_value, "
-                              "max(event_id) AS max_step FROM events GROUP BY user_id, event_type")
+    q["s10_runstore_scan"] = ("SELECT user_id, key, count(*) AS n_values, round(max(CASE WHEN rn = 1 THEN value END), 6) AS last_value, "
+                              "max(event_id) AS max_step FROM (SELECT user_id, event_type AS key, value, event_id, row_number() OVER "
+                              "(PARTITION BY user_id, event_type ORDER BY epoch_ms(ts) DESC, event_id DESC) AS rn FROM events) "
+                              "GROUP BY user_id, key")
     # cleaning
     q["p_clean"] = "WITH " + tickets_sql() + "SELECT doc_id, md5(complaint_what_happened) AS complaint_md5, ticket_classification FROM tickets"
     q["p7_dense_index"] = ("WITH " + tickets_sql() + "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ticket_index, "
