@@ -34,8 +34,8 @@ FEAT = ("rawf AS (SELECT tf.doc_id, tf.term, tf.tf, tf.tf * (ln((1 + ndocs.n) /
         "vsize AS (SELECT count(*) AS v FROM vocab)")
 
 
-def split_cte(name: str, source: str, label_expr: str) -> str:
-    return (f"{name} AS (SELECT doc_id, {label_expr} AS y, CASE WHEN {unit_hash('doc_id', SEED)} < {TEST} "
+def split_cte(name: str, source: str, label_expr: str, seed: int = SEED, test: float = TEST) -> str:
+    return (f"{name} AS (SELECT doc_id, {label_expr} AS y, CASE WHEN {unit_hash('doc_id', seed)} < {test} "
             f"THEN 'test' ELSE 'train' END AS split FROM {source})")
 
 
@@ -289,4 +289,42 @@ def build() -> dict[str, str]:
     q["f8_dominant_topic"] = (with_(*TOK, *TF, *bounded_ctes()) + ", " + nmf_step_sql() +
                               "SELECT doc_id, topic FROM (SELECT doc_id, topic, row_number() OVER (PARTITION BY doc_id "
                               "ORDER BY round(w, 9) DESC, topic) AS rn FROM W1) WHERE rn = 1")
+    # pipelines and grids
+    l1_tok = f"ctok AS (SELECT doc_id, unnest(regexp_extract_all(lower(processed_text), '{WORD_PATTERN}')) AS term FROM ptext)"
+    q["l1_pipeline_nb"] = ("WITH " + text_chain_sql() + ",\n" +
+                           ",\n".join([l1_tok, *TF, *FEAT, split_cte("sp", "documents", "lang", 37, 0.2), *nb_ctes(), *PERCLASS]) +
+                           "\n, acc AS (SELECT split, round(avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END), 6) AS accuracy "
+                           "FROM pj GROUP BY split), w AS (" + WEIGHTED + ") SELECT w.split, acc.accuracy, w.precision, w.recall, "
+                           "w.f1, w.n FROM w JOIN acc USING (split)")
+    q["m7_nb_grid"] = (with_(*TOK, *TF, *FEAT, LANG_SPLIT) + ", " + nb_grid_sql() +
+                       "SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha")
     return q
+
+
+def nb_grid_sql(alphas=(1.0, 0.1, 0.01, 0.001, 0.0001), k: int = 5, seed: int = 37) -> str:
+    al = ", ".join(repr(float(a)) for a in alphas)
+    return (
+        "tr AS (SELECT doc_id, y AS label FROM sp WHERE split = 'train'),\n"
+        f"fo AS (SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {unit_hash('doc_id', seed)}, doc_id) - 1) % {k} AS INTEGER) AS fold FROM tr),\n"
+        f"al AS (SELECT unnest([{al}]::DOUBLE[]) AS alpha),\n"
+        f"fl AS (SELECT CAST(unnest(range(0, {k})) AS INTEGER) AS f),\n"
+        "cntf AS (SELECT fl.f, fo.label, feat.term, sum(feat.w) AS n_ct FROM feat JOIN fo USING (doc_id) CROSS JOIN fl "
+        "WHERE fo.fold <> fl.f GROUP BY fl.f, fo.label, feat.term),\n"
+        "clsf AS (SELECT fl.f, fo.label, count(*) AS n_docs FROM fo CROSS JOIN fl WHERE fo.fold <> fl.f GROUP BY fl.f, fo.label),\n"
+        "totf AS (SELECT f, label, sum(n_ct) AS total FROM cntf GROUP BY f, label),\n"
+        "gc2 AS (SELECT clsf.f, clsf.label, ln(n_docs / sum(n_docs) OVER (PARTITION BY clsf.f)) AS log_prior, "
+        "coalesce(totf.total, 0) AS total FROM clsf LEFT JOIN totf USING (f, label)),\n"
+        "thetaf AS (SELECT gc2.f, gc2.label, al.alpha, vocab.term, ln((coalesce(cntf.n_ct, 0) + al.alpha) / "
+        "(gc2.total + al.alpha * (SELECT v FROM vsize))) AS lt FROM gc2 CROSS JOIN al CROSS JOIN vocab "
+        "LEFT JOIN cntf ON cntf.f = gc2.f AND cntf.label = gc2.label AND cntf.term = vocab.term),\n"
+        "heldsum AS (SELECT fo.doc_id, fo.fold AS f, thetaf.label, thetaf.alpha, sum(feat.w * thetaf.lt) AS s FROM fo "
+        "JOIN feat USING (doc_id) JOIN thetaf ON thetaf.f = fo.fold AND thetaf.term = feat.term "
+        "GROUP BY fo.doc_id, fo.fold, thetaf.label, thetaf.alpha),\n"
+        "gscore AS (SELECT fo.doc_id, fo.fold AS f, gc2.label, al.alpha, gc2.log_prior + coalesce(h.s, 0) AS score FROM fo "
+        "JOIN gc2 ON gc2.f = fo.fold CROSS JOIN al LEFT JOIN heldsum h ON h.doc_id = fo.doc_id AND h.label = gc2.label "
+        "AND h.alpha = al.alpha),\n"
+        "gbest AS (SELECT doc_id, f, alpha, label AS p FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, f, alpha "
+        "ORDER BY score DESC, label) AS rn FROM gscore) WHERE rn = 1),\n"
+        "gacc AS (SELECT gbest.alpha, gbest.f, avg(CASE WHEN gbest.p = fo.label THEN 1.0 ELSE 0.0 END) AS accuracy "
+        "FROM gbest JOIN fo USING (doc_id) GROUP BY gbest.alpha, gbest.f)\n"
+    )
