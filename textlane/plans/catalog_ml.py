@@ -175,3 +175,19 @@ QUERIES = {
     "l4_logreg_embeddings": l4_logreg_embeddings,
     "f13_feature_stage": f13_feature_stage,
 }
+
+
+def _unbalanced_embeddings(spark, d):
+    """Embeddings with a two-class label: class "0" (one of ten) against the rest."""
+    emb = table(spark, d, "embeddings")
+    return emb.select("vec_id", F.when(F.col("label") == 0, F.lit("0")).otherwise(F.lit("rest")).alias("cls"), "embedding")
+
+
+def g3_smote(spark, d):
+    from textlane.operators.smote import smote
+    out = smote(_unbalanced_embeddings(spark, d), "vec_id", "cls", "embedding", k=5, seed=7)
+    return out.filter("synthetic").select(F.col("id").alias("new_id"), "src_id", "nn_id", _r("lam", 9).alias("lam"),
+                                          _r(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)).alias("vec_sum"))
+
+
+QUERIES["g3_smote"] = g3_smote

@@ -298,9 +298,40 @@ def build() -> dict[str, str]:
                            "w.f1, w.n FROM w JOIN acc USING (split)")
     q["m7_nb_grid"] = (with_(*TOK, *TF, *FEAT, LANG_SPLIT) + ", " + nb_grid_sql() +
                        "SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha")
+    q["g3_smote"] = smote_sql()
     return q
 
 
+def smote_sql(k: int = 5, seed: int = 7) -> str:
+    """Brute-force exact kNN inside the minority class, then the same hashed choices."""
+    lam = unit_hash("id || '|' || CAST(j AS VARCHAR)", seed)
+    return (
+        "WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS id, CASE WHEN label = 0 THEN '0' ELSE 'rest' END AS cls, "
+        "CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),\n"
+        "cnt AS (SELECT cls, count(*) AS n_c FROM e GROUP BY cls),\n"
+        "mino AS (SELECT cls, n_c, (SELECT max(n_c) FROM cnt) - n_c AS need FROM cnt WHERE n_c < (SELECT max(n_c) FROM cnt)),\n"
+        "pts AS (SELECT e.* FROM e JOIN mino USING (cls)),\n"
+        "flat AS (SELECT id, cls, unnest(vec) AS v, unnest(range(len(vec))) AS i FROM pts),\n"
+        "pairs AS (SELECT a.id, b.id AS nn_id, sum((a.v - b.v) * (a.v - b.v)) AS d FROM flat a JOIN flat b "
+        "ON a.cls = b.cls AND a.i = b.i AND a.id <> b.id GROUP BY a.id, b.id),\n"
+        f"nn AS (SELECT id, nn_id, nn_rank FROM (SELECT id, nn_id, row_number() OVER (PARTITION BY id ORDER BY d, nn_id) - 1 "
+        f"AS nn_rank FROM pairs) WHERE nn_rank < {k}),\n"
+        "nnn AS (SELECT id, count(*) AS n_nn FROM nn GROUP BY id),\n"
+        f"sd AS (SELECT pts.id, pts.vec, mino.n_c, mino.need, row_number() OVER (PARTITION BY pts.cls ORDER BY "
+        f"{unit_hash('pts.id', seed)}, pts.id) - 1 AS r FROM pts JOIN mino USING (cls)),\n"
+        "jobs0 AS (SELECT id, vec, CAST(floor(need / n_c) AS BIGINT) + CASE WHEN r < need % n_c THEN 1 ELSE 0 END AS m FROM sd),\n"
+        "jobs AS (SELECT id, vec, unnest(range(0, m)) AS j FROM jobs0 WHERE m > 0),\n"
+        f"jobs2 AS (SELECT jobs.*, CAST(('0x' || substr(md5(id || '|' || CAST(j AS VARCHAR) || '|nn{seed}'), 1, 8))::BIGINT "
+        f"% nnn.n_nn AS INTEGER) AS nn_rank, {lam} AS lam "
+        "FROM jobs JOIN nnn USING (id)),\n"
+        "picked AS (SELECT jobs2.id, jobs2.j, jobs2.lam, jobs2.vec, nn.nn_id FROM jobs2 JOIN nn USING (id, nn_rank)),\n"
+        "newv AS (SELECT p.id, p.j, p.lam, p.nn_id, unnest(p.vec) AS a, unnest(pv.vec) AS b FROM picked p "
+        "JOIN pts pv ON pv.id = p.nn_id)\n"
+        "SELECT id || '_s' || CAST(j AS VARCHAR) AS new_id, id AS src_id, nn_id, round(lam, 9) AS lam, "
+        "round(sum(a + lam * (b - a)), 6) AS vec_sum FROM newv GROUP BY id, j, lam, nn_id"
+    )
+
+
 def nb_grid_sql(alphas=(1.0, 0.1, 0.01, 0.001, 0.0001), k: int = 5, seed: int = 37) -> str:
     al = ", ".join(repr(float(a)) for a in alphas)
     return (
