@@ -480,3 +480,13 @@ def f7_doc_topic(spark, d):
 def f8_dominant_topic(spark, d):
     from textlane.operators import topics
     return topics.dominant_topic(_nmf_one_step(spark, d).W)
+
+
+def r1_stream_latest(spark, d):
+    """Latest value per (run, metric) computed by a streaming aggregation over the events files."""
+    from textlane.streaming.runs import latest_values_stream, metric_stream, run_available
+    schema = table(spark, d, "events").schema
+    stream = metric_stream(spark, d, schema, file_glob="events.parquet")
+    agg = latest_values_stream(stream, "user_id", "event_type", "value", ["ts", "event_id"])
+    out = run_available(agg, fresh_path(spark, "stream-out"))
+    return spark.read.parquet(out)

@@ -299,6 +299,7 @@ def build() -> dict[str, str]:
     q["m7_nb_grid"] = (with_(*TOK, *TF, *FEAT, LANG_SPLIT) + ", " + nb_grid_sql() +
                        "SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha")
     q["g3_smote"] = smote_sql()
+    q["r1_stream_latest"] = "WITH " + last_value_sql() + "SELECT user_id, event_type, value FROM lastv"
     return q
 
 
