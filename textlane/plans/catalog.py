@@ -468,8 +468,9 @@ def _nmf_one_step(spark, d, k: int = 4, seed: int = 123):
 
 
 def f5_nmf_step(spark, d):
-    s = _nmf_one_step(spark, d)
-    return s.W.select("doc_id", "topic", _r("w").alias("w"))
+    from textlane.operators import topics
+    W = topics.long_factor(_nmf_one_step(spark, d).W, "doc_id", "w")
+    return W.select("doc_id", F.col("topic").cast("int").alias("topic"), _r("w").alias("w"))
 
 
 def f7_doc_topic(spark, d):

@@ -155,7 +155,7 @@ def f13_feature_stage(spark, d, k: int = 4, iters: int = 10):
     n = feat.doc_count(docs(spark, d))
     vocab = feat.with_idf(feat.bounded_vocabulary(feat.vocabulary(tf), n, 2, 0.95), n)
     X = feat.tfidf(tf, vocab).select("doc_id", "term", F.col("w").alias("x"))
-    state, _ = topics.fit_nmf(X, k=k, max_iter=iters, seed=123)
+    state, _ = topics.fit_nmf(X, k=k, max_iter=iters, seed=123, eval_every=5)
     words = topics.topic_words(state.H, 3).select(F.col("topic").cast("string").alias("idx"),
                                                   F.col("words").alias("label"))
     dom = topics.dominant_topic(state.W)
