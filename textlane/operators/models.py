@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlane.session import materialize
+
 
 @dataclass
 class NaiveBayesModel:
@@ -42,8 +44,9 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column |
     ``log((N_ct + a) / (N_c + a V))`` and an unsmoothed prior ``log(n_c / n)``.
     """
     lab = labels.select(key, F.col(label).alias("label"))
-    counts = (features.join(lab, key)
-              .groupBy("label", "term").agg(F.sum(weight).alias("n_ct")))
+    # the one pass over the features; classes, priors and thetas all read it
+    counts = materialize(features.join(lab, key)
+                         .groupBy("label", "term").agg(F.sum(weight).alias("n_ct")), "nb-counts")
     per_class = counts.groupBy("label").agg(F.sum("n_ct").alias("total"))
     docs = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
     n = lab.select(F.count(F.lit(1))).scalar()

@@ -31,8 +31,15 @@ def remove_stopwords(df: DataFrame, tokens: str = "tokens", words=ENGLISH_STOPWO
 
 def explode_tokens(df: DataFrame, key: str = "doc_id", tokens: str = "tokens",
                    keep: tuple[str, ...] = ()) -> DataFrame:
-    """Long form ``(key, *keep, pos, term)``; positions keep the word order."""
-    return df.select(key, *keep, F.posexplode(tokens).alias("pos", "term"))
+    """Long form ``(key, *keep, pos, term)``; positions keep the word order.
+
+    ``posexplode_outer`` + a null filter gives the rows of ``posexplode``
+    but keeps the optimizer from inferring a ``size(tokens) > 0`` filter
+    under the generator: that filter is pushed below the exchange and would
+    run the whole tokenizer a second time per row.
+    """
+    return (df.select(key, *keep, F.posexplode_outer(tokens).alias("pos", "term"))
+            .filter(F.col("term").isNotNull()))
 
 
 def remove_stopwords_table(long_df: DataFrame, stop_df: DataFrame,

@@ -14,7 +14,7 @@ from textlane.functions.expr import plus_concat, tokens as token_expr, unit_hash
 from textlane.functions.stem import stem_table
 from textlane.functions.stopwords import ENGLISH_STOPWORDS
 from textlane.operators import clean, features as feat, metrics as met, models, runs, sampling, text
-from textlane.session import fresh_path, table
+from textlane.session import fresh_path, materialize, table
 from textlane.sources import files
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -52,6 +52,9 @@ def clean_tokens(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> Dat
     return text.explode_tokens(t, "doc_id", "tokens", keep)
 
 
+_materialize = materialize
+
+
 def tfidf_features(spark: SparkSession, d: str, materialize: bool = False):
     """(features ``(doc_id, term, tf, w)``, vocabulary, n_docs, vocab size) over all documents.
 
@@ -60,12 +63,13 @@ def tfidf_features(spark: SparkSession, d: str, materialize: bool = False):
     is the costly part); the vocabulary size then comes from that table.
     """
     tf = feat.term_counts(clean_tokens(spark, d))
+    if materialize:
+        tf = _materialize(tf, "tf")    # tokenize once: read by the vocabulary and by the weights
     vocab = feat.vocabulary(tf)
     n = feat.doc_count(docs(spark, d))
     x = feat.tfidf(tf, feat.with_idf(vocab, n))
     if materialize:
-        x = x.checkpoint()
-        return x, vocab, n, int(x.select(F.countDistinct("term")).first()[0])
+        x = _materialize(x, "tfidf")
     return x, vocab, n, vocab.select(F.count(F.lit(1))).scalar()
 
 
@@ -85,7 +89,8 @@ def nb_predictions(spark: SparkSession, d: str, split: DataFrame, alpha: float =
     model = models.fit_naive_bayes(x, split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")),
                                    v, alpha)
     pr = models.predict_naive_bayes(x, split.select("doc_id"), model, digits=PROBA_DIGITS)
-    pred = pr.join(split, "doc_id").select("doc_id", "split", "y", "p", "proba")
+    # one row per document, read by every metric: score once
+    pred = _materialize(pr.join(split, "doc_id").select("doc_id", "split", "y", "p", "proba"), "nb-pred")
     proba = pred.select("doc_id", "split", "y", F.explode("proba").alias("_e")).select(
         "doc_id", "split", "y", F.col("_e.label").alias("label"), F.col("_e.prob").alias("prob"))
     return pred.drop("proba"), proba
@@ -463,8 +468,11 @@ def r8_run_duration(spark, d):
 def _nmf_one_step(spark, d, k: int = 4, seed: int = 123):
     from textlane.operators import topics
     x, _ = bounded_tfidf(spark, d)
-    X = x.select("doc_id", "term", F.col("w").alias("x"))
-    return topics.nmf_step(X, topics.nmf_init(X, k, seed), k)
+    # X is read by both start factors and both half steps: cut it once
+    X = _materialize(x.select("doc_id", "term", F.col("w").alias("x")), "nmf-x")
+    s = topics.nmf_init(X, k, seed)
+    H = topics.update_h(X, s, k).checkpoint()
+    return topics.NMFState(topics.update_w(X, topics.NMFState(s.W, H), k), H)
 
 
 def f5_nmf_step(spark, d):

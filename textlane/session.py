@@ -28,6 +28,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Fall back from whole-stage code when a generated method passes the
+        # JIT's 8,000-byte limit (the JVM would otherwise interpret it): the
+        # stemmer's step chain is such a plan.  Recommended on clusters too.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,3 +66,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of the scratch folder."""
     base = scratch_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared scratch folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (the files live in the folder the
+    cluster names in ``spark.checkpoint.dir``, so they survive executor loss),
+    but the data is columnar and compressed, later scans prune columns and
+    push filters, and the write is a plain Spark job.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
