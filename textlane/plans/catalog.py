@@ -209,7 +209,7 @@ def p15_bround(spark, d):
 # text --------------------------------------------------------------------
 
 def t2_tokens(spark, d):
-    t = text.explode_tokens(text.tokenize(docs(spark, d).select("doc_id", "lang", "text")), keep=("lang",))
+    t = text.explode_tokens(text.tokenize(docs_by_id(spark, d, "lang", "text")), keep=("lang",))
     return t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("term").alias("n_terms"))
 
 
@@ -237,14 +237,15 @@ def t5_noun_filter(spark, d):
 
 def t7_processed_text(spark, d):
     from textlane.operators.text_chain import processed_text
-    out = processed_text(docs(spark, d).select("doc_id", "text"))
+    out = processed_text(docs_by_id(spark, d, "text"))
     return out.select("doc_id", F.md5("processed_text").alias("text_md5"),
                       F.length("processed_text").alias("n_chars"))
 
 
 def t8_pipeline_clean(spark, d):
     from textlane.operators.text_chain import build_processed
-    raw = docs(spark, d).select("doc_id", "text", "source", F.nullif(F.col("lang"), F.lit("es")).alias("sub"))
+    raw = docs_by_id(spark, d, "text", "source", "lang").select(
+        "doc_id", "text", "source", F.nullif(F.col("lang"), F.lit("es")).alias("sub"))
     out = build_processed(raw, "text", "source", "sub", keep=("doc_id",))
     return out.select("doc_id", "ticket_classification", F.md5("processed_text").alias("text_md5"))
 
