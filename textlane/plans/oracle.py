@@ -298,6 +298,11 @@ def build() -> dict[str, str]:
                            "w.f1, w.n FROM w JOIN acc USING (split)")
     q["m7_nb_grid"] = (with_(*TOK, *TF, *FEAT, LANG_SPLIT) + ", " + nb_grid_sql() +
                        "SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha")
+    al = ", ".join(repr(float(a)) for a in (1.0, 0.1, 0.01, 0.001, 0.0001))
+    q["m8_nb_best"] = (with_(*TOK, *TF, *FEAT, LANG_SPLIT) + ", " + nb_grid_sql() +
+                       ", gm AS (SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha) "
+                       f"SELECT alpha AS best_alpha, mean_accuracy AS best_score FROM gm "
+                       f"ORDER BY mean_accuracy DESC, list_position([{al}], alpha) LIMIT 1")
     q["g3_smote"] = smote_sql()
     q["r1_stream_latest"] = "WITH " + last_value_sql() + "SELECT user_id, event_type, value FROM lastv"
     return q
