@@ -59,3 +59,26 @@ def test_string_argmax_and_label_maps(spark):
     idx = spark.createDataFrame([(0,), (3,)], "i int")
     got = {r.i: r.label for r in feat.decode_labels(idx, "i", m).collect()}
     assert got == {0: "A", 3: None}
+
+
+def test_macro_f1_evaluator_and_grid(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from textlane.operators import metrics as met, mllib
+
+    # macro F1 counts a never-predicted class as 0: classes 0 (f1 2/3), 1 (f1 2/3), 2 (0)
+    pred = spark.createDataFrame([(0.0, 0.0), (0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (2.0, 0.0)],
+                                 "label_idx double, prediction double")
+    got = mllib.MacroF1Evaluator().evaluate(pred)
+    ref = met.f1_micro_macro(pred.select(F.col("label_idx").alias("y"), F.col("prediction").alias("p"))).first()
+    assert math.isclose(got, ref.f1_macro) and math.isclose(got, 4 / 9)
+    # two separable clusters, 2 folds: every candidate scores 1.0 and the first one wins the tie
+    rows = [(float(i % 2), Vectors.dense([float(i % 2) * 4 + (i % 5) * 0.1, 1.0]), i % 2 if i < 10 else (i + 1) % 2)
+            for i in range(20)]
+    train = spark.createDataFrame(rows, ["label_idx", "features", "fold"])
+    lr = LogisticRegression(labelCol="label_idx", maxIter=50)
+    grid = [{lr.regParam: 0.0}, {lr.regParam: 0.01}]
+    _, res = mllib.grid_search(lr, grid, train, "f1_macro", k=2, parallelism=2)
+    assert [r[2] for r in res] == [1.0, 1.0]
+    assert mllib.best_candidate(res)[0] == 0
