@@ -35,3 +35,17 @@ def test_term_counts_need_no_shuffle_after_doc_partitioning(spark):
     tf = feat.term_counts(text.explode_tokens(text.tokenize(docs)))
     # the only exchange is the one that spreads raw documents by id
     assert _plan(tf).count("Exchange hashpartitioning") == 1
+
+
+def test_tfidf_same_under_partition_counts(spark):
+    from textlane.plans import catalog
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("1", "4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            x, _, _, _ = catalog.tfidf_features(spark, SF)
+            got.append(sorted((r.doc_id, r.term, r.tf, round(r.w, 9)) for r in x.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] == got[2] and got[0]
