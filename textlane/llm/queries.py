@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlane.llm import line_dedup, mixing, quality_lines, sharding, url_rules, warc
+from textlane.llm import jaccard_join, line_dedup, mixing, quality_lines, sharding, url_rules, warc
 
 #: (host, path, verdict) of the url rules.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -25,6 +25,11 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "=", e["key"], e["value"]))), ";").alias("headers"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, copies and number of links of all documents."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("set_id")
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality metrics and verdicts of all documents; the host is the document's source."""
     return quality_lines.judge(table(spark, sf_dir, "documents")).drop("text_in_host")
@@ -55,7 +60,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_revisits, op3_line_frequency, op4_line_dedup, op5_url_rules, op6_mix, op10_byte_shards)}
+QUERIES = {f.__name__: f for f in (op1_revisits, op2_jaccard_join, op3_line_frequency, op4_line_dedup, op5_url_rules, op6_mix, op10_byte_shards)}
 
 # --- SQL --------------------------------------------------------------------------------------------------------------
 
