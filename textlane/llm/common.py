@@ -121,3 +121,11 @@ def starts(table: pa.Table, keys: list[str]) -> np.ndarray:
         v = table.column(k).to_numpy()
         new[1:] |= v[1:] != v[:-1]
     return np.flatnonzero(new)
+
+
+def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality of the keys."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & left[k].eqNullSafe(right[k])
+    return out

@@ -68,7 +68,7 @@ def signature(values: np.ndarray) -> bytes:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        ids, sizes, sigs, known = [], [], [], {}
+        ids, sigs, known = [], [], {}
         for text in batch.column("text").to_pylist():
             values = shingle_set(text, hashes)
             if len(values):
@@ -80,10 +80,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 ids.append(None)
                 sigs.append(None)
-            sizes.append(len(values))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "set_id", "n_shingles", "sig"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(ids, pa.int64()), pa.array(sigs, pa.binary())],
+            names=["doc_id", "text_key", "set_id", "sig"])
 
 
 # --- chosen paths -----------------------------------------------------------------------------------------------------
@@ -312,14 +311,19 @@ def components(edges: DataFrame) -> DataFrame:
 # --- the join ---------------------------------------------------------------------------------------------------------
 
 def near_sets(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> tuple[DataFrame, DataFrame]:
-    """(rows, sets): doc_id, set_id of every row; set_id, rep, n_docs, n_rep_rows, n_links, class_id of every set."""
-    docs = docs.select("doc_id", "text")
+    """(rows, sets): doc_id, text_key, set_id of every row; set_id, rep, rep_key, n_docs, n_links, label, class_id of every set.
+
+    rep and rep_key are the least doc_id with the set and the least text_key (md5 of the text) under it; label names the group.
+    """
+    docs = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = spread(docs.mapInArrow(_sign, f"doc_id {kind}, set_id long, n_shingles long, sig binary"), "signed")
-    rows = signed.select("doc_id", "set_id")
+    signed = spread(docs.mapInArrow(_sign, f"doc_id {kind}, text_key string, set_id long, sig binary"), "signed")
+    rows = signed.select("doc_id", "text_key", "set_id")
     known = signed.filter(F.col("set_id").isNotNull())
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")   # null ids last
     sets = spread(known.groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("n_docs"), F.first("sig").alias("sig")), "sets")
+        F.min_by(F.struct("doc_id", "text_key"), first).alias("rep"), F.count("*").alias("n_docs"), F.first("sig").alias("sig"))
+        .select("set_id", F.col("rep.doc_id").alias("rep"), F.col("rep.text_key").alias("rep_key"), "n_docs", "sig"), "sets")
 
     buckets = _paths(sets, threshold, runs).join(sets.select("set_id", "sig"), "set_id")
     keys = ["path", "a", "b"]
@@ -327,8 +331,9 @@ def near_sets(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -
     clusters = components(spread(edges.distinct(), "near-edges")).withColumnRenamed("label", "cluster")
     clusters = spread(clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster"), "clusters")
 
-    reps = clusters.join(sets.select("set_id", "rep"), "set_id")
-    full = spread(docs.join(reps, docs["doc_id"].eqNullSafe(reps["rep"])).select("text", "set_id", "cluster", "n")
+    reps = clusters.join(sets.select("set_id", "rep", "rep_key"), "set_id")
+    same = docs["doc_id"].eqNullSafe(reps["rep"]) & (docs["text_key"] == reps["rep_key"])
+    full = spread(docs.join(reps, same).select("text", "set_id", "cluster", "n")
                   .mapInArrow(_full_sets, "set_id long, cluster long, n long, shingles binary"), "full-sets")
     keys = ["cluster", "a", "b"]
     found = spread(block_pairs(full, "cluster", "n").repartition(*keys).sortWithinPartitions(*keys)
@@ -338,8 +343,8 @@ def near_sets(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -
     linked = sets.drop("sig").join(links, "set_id", "left").join(labels, "set_id", "left")
     linked = spread(linked.withColumn("label", F.coalesce("label", "set_id")), "linked")
     groups = linked.groupBy("label").agg(F.min("rep").alias("class_id"))
-    sets = linked.join(groups, "label").select(
-        "set_id", "rep", "n_docs", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "class_id")
+    sets = linked.join(groups, "label").select("set_id", "rep", "rep_key", "n_docs", F.coalesce(
+        "n_links", F.lit(0).cast("bigint")).alias("n_links"), "label", "class_id")
     return rows, spread(sets, "classes")
 
 
@@ -360,4 +365,18 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS
     return found.select("doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("rep")).alias("copy_id"),
                         F.coalesce("n_docs", F.lit(1).cast("bigint")).alias("n_copies"),
-                        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "set_id")
+                        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
+
+
+def duplicates(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -> tuple[DataFrame, DataFrame]:
+    """(drop, repeated): the (doc_id, text_key) of the rows that are not their group's representative; those of the
+    representatives that stand in several equal rows.  Rows without words are in neither."""
+    rows, sets = near_sets(docs, threshold, runs)
+    first = F.struct(F.col("rep").isNull(), "rep", "rep_key", "set_id")
+    stays = sets.groupBy("label").agg(F.min_by(F.struct("rep", "rep_key", "set_id"), first).alias("stay")).select(
+        F.col("stay.set_id").alias("set_id"), F.col("stay.rep").alias("rep"), F.col("stay.rep_key").alias("rep_key"))
+    texts = rows.filter(F.col("set_id").isNotNull()).groupBy("set_id", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    marked = texts.join(stays, "set_id", "left").withColumn("is_rep", F.coalesce(
+        F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key")), F.lit(False)))
+    marked = spread(marked.select("doc_id", "text_key", "n", "is_rep"), "duplicates")
+    return marked.filter(~F.col("is_rep")).drop("n", "is_rep"), marked.filter(F.col("is_rep") & (F.col("n") > 1)).drop("n", "is_rep")
