@@ -25,8 +25,9 @@ def line_table(docs: DataFrame) -> DataFrame:
     keys = F.transform(lines_of(text_of()), lambda x, i: F.struct(i.alias("pos"), line_key(x).alias("key")))
     return docs.select(
         F.xxhash64("doc_id", "text").alias("doc"), F.md5(text_of()).alias("text_key"),
-        F.explode(F.filter(keys, lambda k: F.length(k["key"]) >= MIN_KEY_CHARS)).alias("line"),
-    ).select("doc", "text_key", F.col("line.pos").alias("pos"), F.xxhash64("line.key").alias("key_hash"))
+        # outer: with a plain explode the optimizer adds a size filter that computes the keys twice
+        F.explode_outer(F.filter(keys, lambda k: F.length(k["key"]) >= MIN_KEY_CHARS)).alias("line"),
+    ).filter(F.col("line").isNotNull()).select("doc", "text_key", F.col("line.pos").alias("pos"), F.xxhash64("line.key").alias("key_hash"))
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

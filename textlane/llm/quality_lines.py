@@ -85,7 +85,7 @@ def host_lines(docs: DataFrame, host: str = "source") -> DataFrame:
         x["pos"].alias("pos"), F.xxhash64(x["key"]).alias("key"),
         F.regexp_count(x["key"], F.lit(WORD)).alias("words")))
     rows = _keyed(docs.filter(F.col("text").isNotNull()), host).select(
-        "host_key", "text_in_host", F.explode(lines).alias("line")).select("host_key", "text_in_host", "line.*")
+        "host_key", "text_in_host", F.explode_outer(lines).alias("line")).filter(F.col("line").isNotNull()).select("host_key", "text_in_host", "line.*")
     # Copies of a text give equal rows; they meet in the map-side combine first.
     return rows.groupBy("host_key", "text_in_host", "pos").agg(F.first("key").alias("key"), F.first("words").alias("words"))
 

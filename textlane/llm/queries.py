@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlane.llm import jaccard_join, line_dedup, mixing, quality_lines, sharding, url_rules, warc
+from textlane.llm import (decontaminate, jaccard_join, licenses, line_dedup, mixing, quality_lines, sharding, style_tree,
+                          url_rules, warc)
 
 #: (host, path, verdict) of the url rules.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -27,7 +28,7 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, copies and number of links of all documents."""
-    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("set_id")
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,25 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best window of every document and benchmark item that match."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+def op8_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return style_tree.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of all documents: an own notice, that of the nearest ancestor directory, or none."""
+    files = licenses.files_of_documents(table(spark, sf_dir, "documents"))
+    out = licenses.scan(files)
+    return out.select(F.substring_index("path", "/", -1).cast("bigint").alias("doc_id"), "path", "license", "score", "origin",
+                      "inherited_from")
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of near equal bytes."""
     out = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
@@ -60,7 +80,8 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_revisits, op2_jaccard_join, op3_line_frequency, op4_line_dedup, op5_url_rules, op6_mix, op10_byte_shards)}
+QUERIES = {f.__name__: f for f in (op1_revisits, op2_jaccard_join, op3_line_frequency, op4_line_dedup, op5_url_rules, op6_mix,
+                                  op7_decontaminate, op8_style_tree, op9_licenses, op10_byte_shards)}
 
 # --- SQL --------------------------------------------------------------------------------------------------------------
 
@@ -200,5 +221,39 @@ SELECT id AS record_id, canonical, strftime(ts, '%Y-%m-%d %H:%M') AS ts, f.id AS
 FROM s
 """
 
-ORACLE = {"op1_revisits": _OP1, "op3_line_frequency": _OP3, "op4_line_dedup": _OP4, "op5_url_rules": _OP5, "op6_mix": _OP6,
+_TERM = r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"
+_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+_OP9 = f"""
+WITH f AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length(x) <= 100 AND regexp_matches(lower(x), 'licen[sc]e|rights reserved'))) > 0 AS is_lic,
+    coalesce(source, '_') || '/' || coalesce(lang, '_') || '/' || (doc_id // 1000) AS top FROM documents),
+p AS (SELECT *, top || CASE WHEN is_lic THEN '' ELSE '/' || (doc_id // 100) END AS dir FROM f),
+tpl AS (SELECT k, license, unnest(regexp_extract_all(lower(txt), '{_TERM}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, license, txt)),
+voc AS (SELECT DISTINCT term FROM tpl),
+doc_terms AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{_TERM}')) AS term FROM p),
+df AS (SELECT term, count(doc_id) AS df FROM voc LEFT JOIN doc_terms USING (term) GROUP BY term),
+n AS (SELECT count(*) AS n FROM p),
+idf AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS w FROM df, n),
+tv AS (SELECT k, license, term, count(*) * any_value(w) AS x FROM tpl JOIN idf USING (term) GROUP BY ALL),
+tu AS (SELECT k, license, term, x / sqrt(sum(x * x) OVER (PARTITION BY k)) AS x FROM tv),
+st AS (SELECT doc_id, row_number() OVER () AS sid, regexp_extract_all(lower(s), '{_TERM}') AS terms FROM (
+  SELECT doc_id, unnest(string_split(regexp_replace(text, '[.;!?](\s|$)', chr(10) || '\1', 'g'), chr(10))) AS s FROM p)
+  WHERE regexp_matches(lower(s), 'licen|reserved|copyright|cc|version|apache|gnu|mit|public|released|terms')),
+bag AS (SELECT doc_id, sid, term, count(*) AS tf FROM (SELECT doc_id, sid, unnest(terms) AS term FROM st) GROUP BY ALL),
+wb AS (SELECT bag.*, tf * coalesce(w, (SELECT ln((n + 1) / 2) + 1 FROM n)) AS w FROM bag LEFT JOIN idf USING (term)),
+nrm AS (SELECT sid, sqrt(sum(w * w)) AS len FROM wb GROUP BY sid),
+sc AS (SELECT doc_id, sid, license, round(sum(w * x) / any_value(len), 9) AS score
+       FROM wb JOIN tu USING (term) JOIN nrm USING (sid) GROUP BY doc_id, sid, k, license),
+own AS (SELECT doc_id, first(license ORDER BY score DESC, license) AS license, max(score) AS score FROM sc
+        WHERE score >= {licenses.THRESHOLD} GROUP BY doc_id),
+given AS (SELECT dir, first(license ORDER BY score DESC, license) AS license, max(score) AS score
+          FROM p JOIN own USING (doc_id) WHERE is_lic GROUP BY dir)
+SELECT p.doc_id, p.dir || '/' || p.doc_id AS path, coalesce(own.license, given.license) AS license, coalesce(own.score, given.score) AS score,
+       CASE WHEN own.license IS NOT NULL THEN 'notice' WHEN given.license IS NOT NULL THEN 'directory' ELSE 'none' END AS origin,
+       CASE WHEN own.license IS NULL THEN given.dir END AS inherited_from
+FROM p LEFT JOIN own USING (doc_id) LEFT JOIN given ON given.dir = p.top
+"""
+
+ORACLE = {"op9_licenses": _OP9, "op1_revisits": _OP1, "op3_line_frequency": _OP3, "op4_line_dedup": _OP4, "op5_url_rules": _OP5, "op6_mix": _OP6,
           "op10_byte_shards": _OP10}
