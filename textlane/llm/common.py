@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,6 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    """The line without outer ASCII white space, A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(ASCII_SPACE)), UPPER, LOWER)
-
-
 def order_hash(*cols: Column, seed: str = "") -> Column:
     """md5 hex of the columns (nulls as empty): a seeded order that any SQL engine can repeat."""
     return F.md5(F.concat_ws("|", F.lit(seed), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
@@ -64,19 +60,78 @@ def seeds(n: int, salt: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)) | np.uint64(1)
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash, remembered up to a bound of entries."""
-
-    LIMIT = 1_000_000
+#: Texts are hashed together in chunks of about so many bytes.
+CHUNK = 1 << 18
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[ord(c) for c in ASCII_SPACE]] = True
+_CUT = re.compile(rb"[\x20\x09-\x0D]")
+#: A byte's value, powers of an odd base and of its inverse modulo 2^64: a word's hash is its polynomial, wherever it stands.
+_BYTE = seeds(256, 11)
+_BASE = int(seeds(1, 13)[0])
+_LENGTH = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base % (1 << 64), dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWER, _INVERSE = _powers(_BASE, 2 * CHUNK), _powers(pow(_BASE, -1, 1 << 64), 2 * CHUNK)
+
+
+def _hash_chunk(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and where each text's words begin (and the last ones end)."""
+    joined = np.frombuffer(b"\n".join(raws) + b"\n", dtype=np.uint8)
+    space = _SPACE[joined]
+    change = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        change = np.concatenate([[0], change])
+    begin, end = change[::2], change[1::2]
+    total = np.zeros(len(joined) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[joined] * _POWER[:len(joined)], out=total[1:])
+    hashes = mix((total[end] - total[begin]) * _INVERSE[begin] + (end - begin).astype(np.uint64) * _LENGTH)
+    edges = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])])
+    return hashes, np.searchsorted(begin, edges)
+
+
+def _pieces(raw: bytes) -> list[bytes]:
+    """A long text cut at white space into pieces of about CHUNK bytes (a longer word stays whole up to the end)."""
+    out, at = [], 0
+    while len(raw) - at > CHUNK:
+        cut = _CUT.search(raw, at + CHUNK // 2, at + CHUNK)
+        if cut is None:
+            # One word longer than a piece: hash what it is, as a word of its own.
+            cut = _CUT.search(raw, at + CHUNK)
+            stop = cut.start() if cut else len(raw)
+            begin = max(raw.rfind(c, at, at + CHUNK) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")) + 1 or at
+            out += [raw[at:begin], b"%x" % xxhash.xxh3_64_intdigest(raw[begin:stop])]
+            at = stop
+        else:
+            out.append(raw[at:cut.start()])
+            at = cut.start()
+    return [*out, raw[at:]]
+
+
+def hashed_words(raws: list[bytes]) -> Iterator[np.ndarray]:
+    """The 64-bit hashes of each text's words (runs without ASCII white space), text by text."""
+    at = 0
+    while at < len(raws):
+        if len(raws[at]) > CHUNK:
+            yield np.concatenate([_hash_chunk([x])[0] for x in _pieces(raws[at])])
+            at += 1
+            continue
+        end, size = at, 0
+        while end < len(raws) and size + len(raws[end]) <= CHUNK:
+            size += len(raws[end]) + 1
+            end += 1
+        hashes, bounds = _hash_chunk(raws[at:end])
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            yield hashes[low:high]
+        at = end
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+_SHINGLE = seeds(64, 77)
 
 
 def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
@@ -85,13 +140,21 @@ def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
     if not n:
         return hashes
     width = min(width, n)
-    factor = seeds(width, 77)
-    total = np.zeros(n - width + 1, dtype=np.uint64)
-    for k in range(width):
-        total += hashes[k:n - width + 1 + k] * factor[k]
+    total = hashes[:n - width + 1] * _SHINGLE[0]
+    for k in range(1, width):
+        total += hashes[k:n - width + 1 + k] * _SHINGLE[k]
     return mix(total)
 
 
+def normal_line(line: bytes) -> bytes:
+    """The line's key: without outer ASCII white space, A-Z lower-cased (bytes methods know ASCII only)."""
+    return line.strip().lower()
+
+
+def line_hash(key: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(key) - (1 << 63)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole runs of equal keys, from batches sorted by the keys.
 

@@ -1,9 +1,10 @@
 """Benchmark decontamination: SimHash windows of item size, multi-index Hamming search, exact verification.
 
 Items and documents are lower-cased words without ASCII punctuation, in five-word shingles.  An item of m shingles is
-searched by windows of its size class S (about 0.8 m, on a grid): every S-window of the item has a SimHash fingerprint,
+searched by windows of its size class S (about 0.8 m, on a grid): its first and last S-windows have SimHash fingerprints,
 and a document is fingerprinted at a stride so small that each place where the whole item could stand contains a
-window that is aligned with one of the item's.  Work per document word is a few windows, whatever the number of items.
+window that is aligned with one of the item's first and one of its last.  Work per document word is a few windows,
+whatever the number of items.
 
 Fingerprints within ``RADIUS`` of 64 bits are all found: four blocks of 16 bits are looked up with all values within
 RADIUS // 4 of theirs (two strings within RADIUS agree up to RADIUS // 4 in at least one of four blocks), and the
@@ -24,48 +25,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textlane.llm.common import WordHashes, seeds, shingles
+from textlane.llm.common import hashed_words, shingles
 
 WIDTH = 5
 SIMILARITY = 0.8
 RADIUS = 11
 #: Items that a task holds at a time (expected; items are dealt to blocks by hash).
 ITEM_BLOCK = 2000
-#: Documents are fingerprinted in pieces of so many shingles, which overlap by the longest item.
+#: So many shingles are fingerprinted at a time: short texts together, long ones in pieces that overlap by the longest item.
 PIECE = 1 << 16
-#: Windows looked up at a time.
-LOOKUP = 1 << 18
 #: Size classes of windows, in shingles: each about a quarter above the last.
 GRID = tuple(dict.fromkeys(int(np.ceil(1.25 ** k)) for k in range(60)))
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
-def text_shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Shingle hashes in order; none for a text of fewer than five words."""
-    if not text:
-        return np.empty(0, dtype=np.uint64)
-    words = text.lower().encode("utf-8", "surrogatepass").translate(None, _PUNCTUATION).split()
-    return shingles(hashes.of(words), WIDTH) if len(words) >= WIDTH else np.empty(0, dtype=np.uint64)
+def text_shingles(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Each text's shingle hashes in order; none for a text of fewer than five words."""
+    raws = [(t or "").lower().encode("utf-8", "surrogatepass").translate(None, _PUNCTUATION) for t in texts]
+    for words in hashed_words(raws):
+        yield shingles(words, WIDTH) if len(words) >= WIDTH else words[:0]
 
 
 def size_class(m: int) -> int:
-    """The greatest grid size up to 0.8 m (1 at least)."""
-    return max(g for g in GRID if g <= max(1, int(0.8 * m)))
+    """The greatest grid size up to 0.8 m (1 at least, MAX_SIZE at most)."""
+    return max(g for g in GRID if g <= min(MAX_SIZE, max(1, int(0.8 * m))))
+
+
+#: The eight bits of a byte, each in a lane of eight bits; and the factor that gathers the lanes' lowest bits again.
+_LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
+_EVERY, _GATHER, _TOP = np.uint64(0x0101010101010101), np.uint64(0x0102040810204080), np.uint64(56)
+#: Lanes hold counts up to 255, so windows have at most so many shingles.
+MAX_SIZE = 255
 
 
 def prefix_bits(values: np.ndarray) -> np.ndarray:
-    """Running counts of the set bits of each of the 64 places, with a zero row first."""
-    bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(values) + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, dtype=np.int32, out=out[1:])
+    """Running counts of the set bits of each of the 64 places, eight lanes to a number, with a zero first.
+
+    Lanes run over into each other in the sums, but the difference of two sums is again exact while no lane of it passes 255.
+    """
+    out = np.zeros((8, len(values) + 1), dtype=np.uint64)
+    for k in range(8):
+        np.cumsum(_LANES[(values >> np.uint64(8 * k)) & np.uint64(255)], out=out[k, 1:])
     return out
 
 
-def window_prints(prefix: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
-    """SimHash fingerprints of the windows of ``size`` shingles that begin at ``at``."""
-    ones = prefix[at + size] - prefix[at]
-    return np.packbits(2 * ones > size, axis=1).view(np.uint64).ravel()
+def window_prints(prefix: np.ndarray, size: int, stride: int = 1) -> np.ndarray:
+    """SimHash fingerprints of the windows of ``size`` shingles at every ``stride``: the places where most bits are set."""
+    n = prefix.shape[1] - size
+    if n <= 0:
+        return np.empty(0, dtype=np.uint64)
+    ones = prefix[:, size::stride] - prefix[:, :n:stride]
+    ones += _EVERY * np.uint64(127 - size // 2)   # the lane's top bit is now set if more than half of the bits were
+    ones >>= np.uint64(7)
+    ones &= _EVERY
+    ones *= _GATHER
+    ones >>= _TOP
+    out = ones[0]
+    for k in range(1, 8):
+        out = out | (ones[k] << np.uint64(8 * k))
+    return out
 
 
 class BlockIndex:
@@ -112,10 +131,8 @@ class Items:
     """A block of items, indexed by size class."""
 
     def __init__(self, rows: list[tuple], radius: int) -> None:
-        hashes = WordHashes()
         self.ids, self.shingles = [], []
-        for item_id, text in rows:
-            s = text_shingles(text, hashes)
+        for (item_id, _), s in zip(rows, text_shingles([text for _, text in rows]), strict=True):
             if len(s):
                 self.ids.append(item_id)
                 self.shingles.append(s)
@@ -126,15 +143,16 @@ class Items:
             of_class.setdefault(size_class(len(s)), []).append(k)
         self.classes = []
         for size, members in sorted(of_class.items()):
+            # Any run of m shingles contains windows of a document that begin at multiples of this stride: one among the
+            # first and one among the last ``stride`` windows of the item, so those are indexed.
+            stride = min(len(self.shingles[k]) for k in members) - size + 1
             prints, item, offset = [], [], []
             for k in members:
-                at = np.arange(len(self.shingles[k]) - size + 1)
-                prints.append(window_prints(prefix_bits(self.shingles[k]), size, at))
+                last = len(self.shingles[k]) - size + 1
+                at = np.unique(np.concatenate([np.arange(stride), np.arange(last - stride, last)]))
+                prints.append(window_prints(prefix_bits(self.shingles[k]), size)[at])
                 item.append(np.full(len(at), k))
                 offset.append(at)
-            # Any run of an item's m shingles contains windows that begin at multiples of this stride: one in the smallest
-            # case, mostly two or more, so that one edit doesn't touch all of them.
-            stride = max(1, (min(len(self.shingles[k]) for k in members) - size + 1) // 2)
             self.classes.append((size, stride, BlockIndex(np.concatenate(prints), radius), np.concatenate(item), np.concatenate(offset)))
 
 
@@ -147,10 +165,10 @@ def similarity(window: np.ndarray, counts: Counter, m: int) -> float:
 
 def _search(rows: list[tuple], id_type: pa.DataType, threshold: float, radius: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, hashes = Items(rows, radius), WordHashes()
+        items = Items(rows, radius)
         for batch in batches:
             places, items_found, starts, sims, ends = [], [], [], [], []
-            for place, item, start, sim in _hits(batch.column("text").to_pylist(), items, hashes, threshold):
+            for place, item, start, sim in _hits(batch.column("text").to_pylist(), items, threshold):
                 places.append(place)
                 items_found.append(items.ids[item])
                 starts.append(start)
@@ -164,48 +182,51 @@ def _search(rows: list[tuple], id_type: pa.DataType, threshold: float, radius: i
     return scan
 
 
-def _hits(texts: list[str | None], items: Items, hashes: WordHashes, threshold: float) -> Iterator[tuple[int, int, int, float]]:
+def _hits(texts: list[str | None], items: Items, threshold: float) -> Iterator[tuple[int, int, int, float]]:
     """(place, item, first word, similarity) of the best window of every (text, item) that reaches the threshold."""
     if not items.classes:
         return
     own: dict[int, np.ndarray] = {}
-    waiting: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in items.classes]
-    n_waiting = 0
-    for place, text in enumerate(texts):
-        s = text_shingles(text, hashes)
-        if len(s):
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+    parts: list[tuple[int, int, np.ndarray]] = []
+    size = 0
+    for place, s in enumerate(text_shingles(texts)):
+        # Pieces begin at multiples of PIECE and overlap by the longest item, so no occurrence is cut in all of them.
+        for base in range(0, len(s), PIECE):
             own[place] = s
-        for base in range(0, max(1, len(s)), PIECE):
             part = s[base:base + PIECE + items.longest]
-            prefix = prefix_bits(part) if len(part) else None
-            for k, (size, stride, *_) in enumerate(items.classes):
-                at = np.arange(0, len(part) - size + 1, stride)
-                if len(at):
-                    waiting[k].append((place, at + base, window_prints(prefix, size, at)))
-                    n_waiting += len(at)
-        if n_waiting >= LOOKUP:
-            yield from _verify(own, items, waiting, threshold)
-            own, waiting, n_waiting = {}, [[] for _ in items.classes], 0
-    yield from _verify(own, items, waiting, threshold)
-
-
-def _verify(own: dict[int, np.ndarray], items: Items, waiting: list[list[tuple]], threshold: float) -> Iterator[tuple[int, int, int, float]]:
-    best: dict[tuple[int, int], tuple[float, int]] = {}
-    for (_, _, index, item_of, offset_of), parts in zip(items.classes, waiting, strict=True):
-        if not parts:
-            continue
-        place_of = np.repeat([p for p, _, _ in parts], [len(at) for _, at, _ in parts])
-        at_of, prints = np.concatenate([at for _, at, _ in parts]), np.concatenate([x for _, _, x in parts])
-        a, c = index.search(prints)
-        seen = {(int(place_of[i]), int(item_of[j]), int(at_of[i] - offset_of[j])) for i, j in zip(a, c, strict=True)}
-        for place, item, start in sorted(seen):
+            if parts and size + len(part) > PIECE:
+                _look(parts, own, items, threshold, best)
+                parts, size, own = [], 0, {place: s}
+            parts.append((place, base, part))
+            size += len(part)
+    if parts:
+        _look(parts, own, items, threshold, best)
+    for (place, item), (value, start) in best.items():
+        yield place, item, start, -value
+
+
+def _look(parts: list[tuple[int, int, np.ndarray]], own: dict[int, np.ndarray], items: Items, threshold: float,
+          best: dict[tuple[int, int], tuple[float, int]]) -> None:
+    """Searches the parts (place, first shingle, shingles), laid end to end, and notes the best verified windows."""
+    prefix = prefix_bits(np.concatenate([s for _, _, s in parts]))
+    ends = np.cumsum([len(s) for _, _, s in parts])
+    places, bases = np.array([p for p, _, _ in parts]), np.array([b for _, b, _ in parts]) - (ends - [len(s) for _, _, s in parts])
+    for size, stride, index, item_of, offset_of in items.classes:
+        prints = window_prints(prefix, size, stride)
+        at = np.arange(len(prints)) * stride
+        part = np.searchsorted(ends, at, side="right")
+        inside = np.flatnonzero(at + size <= ends[part]) if len(at) else at   # windows over two texts don't count
+        found, which = index.search(prints[inside])
+        found = inside[found]
+        seen = zip(places[part[found]].tolist(), item_of[which].tolist(),
+                   (at[found] + bases[part[found]] - offset_of[which]).tolist(), strict=True)
+        for place, item, start in sorted(set(seen)):
             s, m = own[place], len(items.shingles[item])
             start = max(0, min(start, len(s) - m))   # the item-sized window, moved inside the text
             value = similarity(s[start:start + m], items.counts[item], m)
             if value >= threshold and (-value, start) < best.get((place, item), (1.0, 0)):
                 best[place, item] = (-value, start)
-    for (place, item), (value, start) in best.items():
-        yield place, item, start, -value
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS,

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlane.llm.common import WordHashes, mix, seeds, shingles, sorted_runs, spread, starts
+from textlane.llm.common import hashed_words, mix, seeds, shingles, sorted_runs, spread, starts
 
 THRESHOLD = 0.8
 WIDTH = 5
@@ -42,11 +42,10 @@ _COLUMNS = 4096
 
 # --- sets and signatures ----------------------------------------------------------------------------------------------
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the lower-cased text's five-word shingles; a shorter text has one, an empty one none."""
-    if not text:
-        return np.empty(0, dtype=np.uint64)
-    return np.unique(shingles(hashes.of(text.lower().encode("utf-8", "surrogatepass").split()), WIDTH))
+def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each lower-cased text's five-word shingles; a shorter text has one, an empty one none."""
+    for words in hashed_words([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]):
+        yield np.unique(shingles(words, WIDTH))
 
 
 def set_id(values: np.ndarray) -> int:
@@ -66,11 +65,9 @@ def signature(values: np.ndarray) -> bytes:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
         ids, sigs, known = [], [], {}
-        for text in batch.column("text").to_pylist():
-            values = shingle_set(text, hashes)
+        for values in shingle_sets(batch.column("text").to_pylist()):
             if len(values):
                 key = set_id(values)
                 if key not in known:
@@ -272,11 +269,10 @@ def _exact(threshold: float):
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shingle sets of the clusters' representatives; a row whose text isn't the representative's is left out."""
-    hashes = WordHashes()
     for batch in batches:
         rows, values = [], []
-        for k, (text, want) in enumerate(zip(batch.column("text").to_pylist(), batch.column("set_id").to_pylist(), strict=True)):
-            found = shingle_set(text, hashes)
+        sets = shingle_sets(batch.column("text").to_pylist())
+        for k, (found, want) in enumerate(zip(sets, batch.column("set_id").to_pylist(), strict=True)):
             if len(found) and set_id(found) == want:
                 rows.append(k)
                 values.append(found.tobytes())

@@ -40,13 +40,14 @@ TEMPLATES = [
     ("CC0-1.0", "Released into the public domain under CC0 1.0"),
     ("LicenseRef-Proprietary", "All rights reserved"),
 ]
-#: Words with inner dots, dashes and digits ("2.0", "by-nc") stay whole.
-_TERM = r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"
+#: Terms are what stands between runs of ASCII characters other than letters and digits.
+SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _STATEMENT_END = r"\n|[.;!?](?=\s|$)"
 
 
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(_TERM), 0)
+    """Lower-cased terms in order, with empty strings where the text begins or ends in separators."""
+    return F.split(F.lower(text), SEPARATOR, -1)
 
 
 def term_weights(files: DataFrame, vocabulary: list[str]) -> dict[str, float]:
@@ -90,15 +91,17 @@ def notices(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thre
     spark = files.sparkSession
     # The templates' terms, by the same expression as the files' terms (bounded rows).
     cut = {r.text: r.terms for r in spark.createDataFrame(templates, "name string, text string")
-           .select("text", terms(F.col("text")).alias("terms")).collect()}
+           .select("text", F.array_remove(terms(F.col("text")), "").alias("terms")).collect()}
     vocabulary = sorted({t for v in cut.values() for t in v})
     weights = term_weights(files, vocabulary)
     vectors = _vectors(templates, weights, cut.__getitem__)
     wanted = F.array(*[F.lit(t) for t in sorted({t for _, v in vectors for t in anchors(v, threshold)})])
 
-    statements = files.select("file", F.explode_outer(F.split(text_of(), _STATEMENT_END, -1)).alias("statement"))
-    # A cheap look at the words first, then the terms of the few statements that hold an anchor.
-    rows = statements.withColumn("terms", terms(F.col("statement"))).filter(F.arrays_overlap("terms", wanted))
+    # Files that hold an anchor are cut into statements, and statements that hold one are scored.
+    some = files.filter(F.arrays_overlap(terms(text_of()), wanted))
+    statements = some.select("file", F.explode_outer(F.split(text_of(), _STATEMENT_END, -1)).alias("statement"))
+    rows = statements.select("file", F.array_remove(terms(F.col("statement")), "").alias("terms")).filter(
+        F.arrays_overlap("terms", wanted))
     idf = F.create_map(*[x for t in vocabulary for x in (F.lit(t), F.lit(weights[t]))])
     weight = lambda t: F.coalesce(F.try_element_at(F.lit(idf), t), F.lit(weights[""]))
     # Distinct statements are scored once; the hot ones meet in the partial aggregation.

@@ -11,28 +11,42 @@ is small and otherwise splits where a text has many copies.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlane.llm.common import line_key, lines_of, spread, text_of
+from textlane.llm.common import line_hash, lines_of, normal_line, spread, text_of
 
 MIN_DOCS = 10
-MIN_KEY_CHARS = 1
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, pos, keys = [], [], []
+        for row, raw in enumerate(batch.column("text").to_pylist()):
+            for k, line in enumerate(raw.split(b"\n")):
+                key = normal_line(line)
+                if key:   # one code point at least
+                    rows.append(row)
+                    pos.append(k)
+                    keys.append(line_hash(key))
+        own = batch.select(["doc", "text_key"]).take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(pos, pa.int32()), pa.array(keys, pa.int64())],
+                                         names=["doc", "text_key", "pos", "key_hash"])
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """Per document and distinct text one row per line: doc (row key), text_key, pos, key_hash; short keys excluded."""
-    keys = F.transform(lines_of(text_of()), lambda x, i: F.struct(i.alias("pos"), line_key(x).alias("key")))
-    return docs.select(
-        F.xxhash64("doc_id", "text").alias("doc"), F.md5(text_of()).alias("text_key"),
-        # outer: with a plain explode the optimizer adds a size filter that computes the keys twice
-        F.explode_outer(F.filter(keys, lambda k: F.length(k["key"]) >= MIN_KEY_CHARS)).alias("line"),
-    ).filter(F.col("line").isNotNull()).select("doc", "text_key", F.col("line.pos").alias("pos"), F.xxhash64("line.key").alias("key_hash"))
+    """One row per line that has a key: doc (hash of doc_id and text), text_key, pos, key_hash."""
+    rows = docs.filter(F.col("text").isNotNull()).select(
+        F.xxhash64("doc_id", "text").alias("doc"), F.md5("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(_lines, "doc long, text_key string, pos int, key_hash long")
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Hashes of the keys found in at least ``min_docs`` documents (distinct rows by doc_id and text)."""
-    return (line_table(docs).groupBy("key_hash").agg(F.count_distinct("doc").alias("n_docs"))
+    return (line_table(docs).select("doc", "key_hash").groupBy("key_hash").agg(F.count_distinct("doc").alias("n_docs"))
             .filter(F.col("n_docs") >= min_docs))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlane.llm.common import ASCII_SPACE, WORD, WordHashes, line_key, lines_of, shingles, spread, text_of
+from textlane.llm.common import ASCII_SPACE, hashed_words, line_hash, lines_of, normal_line, shingles, spread, text_of
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -35,38 +35,44 @@ _SPACE_BYTES = ASCII_SPACE.encode()
 _SYMBOL_BYTES = SYMBOLS.encode()
 
 
-def text_metrics(text: str | None, hashes: WordHashes) -> tuple[int, int, int, int, int]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of one text."""
-    if not text:
-        return 0, 0, 0, 0, 0
-    raw = text.encode("utf-8", "surrogatepass")
-    words = raw.split()   # splits at exactly the ASCII white space
+def repeat_words(words: np.ndarray) -> int:
+    """Words inside eight-word windows that the text has twice or more."""
     n = len(words)
-    if not n:
-        return 0, 0, 0, 0, 0
+    if n <= REPEAT_WINDOW:
+        return 0
+    windows = shingles(words, REPEAT_WINDOW)
+    order = np.argsort(windows, kind="stable")
+    equal = windows[order][1:] == windows[order][:-1]
+    if not equal.any():
+        return 0
+    twice = np.zeros(len(windows), dtype=bool)
+    twice[order[1:][equal]] = True
+    twice[order[:-1][equal]] = True
+    edge = np.zeros(n + 1, dtype=np.int64)
+    edge[:len(windows)] += twice
+    edge[REPEAT_WINDOW:REPEAT_WINDOW + len(windows)] -= twice
+    return int((np.cumsum(edge)[:n] > 0).sum())
+
+
+def text_metrics(text: str, raw: bytes, words: np.ndarray) -> tuple[int, int, int, int, int]:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text, its bytes and its words' hashes."""
+    if not len(words):
+        return 0, 0, len(raw) - len(raw.translate(None, _SYMBOL_BYTES)), 0, 0
     word_chars = len(text) - (len(raw) - len(raw.translate(None, _SPACE_BYTES)))
     symbols = len(raw) - len(raw.translate(None, _SYMBOL_BYTES))
-    lines = [x for x in raw.split(b"\n") if x.strip()]
-    repeated = 0
-    if n > REPEAT_WINDOW:
-        _, which, times = np.unique(shingles(hashes.of(words), REPEAT_WINDOW), return_inverse=True, return_counts=True)
-        if len(times) < len(which):
-            edge = np.zeros(n + 1, dtype=np.int64)
-            at = np.flatnonzero(times[which] > 1)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + REPEAT_WINDOW, -1)
-            repeated = int((np.cumsum(edge)[:n] > 0).sum())
-    return n, word_chars, symbols, len(lines) - len(set(lines)), repeated
+    lines = [x for x in raw.split(b"\n") if x.strip()]   # bytes: strips exactly the ASCII white space
+    return len(words), word_chars, symbols, len(lines) - len(set(lines)), repeat_words(words)
 
 
 METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     names = [x.split()[0] for x in METRICS.split(", ")]
     for batch in batches:
-        rows = [text_metrics(t, hashes) for t in batch.column("text").to_pylist()]
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        raws = [t.encode("utf-8", "surrogatepass") for t in texts]
+        rows = [text_metrics(*x) for x in zip(texts, raws, hashed_words(raws), strict=True)]
         found = [pa.array([r[k] for r in rows], type=pa.int64()) for k in range(len(names))]
         keep = ["doc_id", "text_in_host"]
         yield pa.RecordBatch.from_arrays([batch.column(k) for k in keep] + found, names=keep + names)
@@ -78,14 +84,26 @@ def _keyed(docs: DataFrame, host: str) -> DataFrame:
                        F.xxhash64(host, text_of()).alias("text_in_host"))
 
 
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, pos, keys, words = [], [], [], []
+        for row, raw in enumerate(batch.column("text").to_pylist()):
+            for k, line in enumerate(raw.split(b"\n")):
+                key = normal_line(line)
+                if key:
+                    rows.append(row)
+                    pos.append(k)
+                    keys.append(line_hash(key))
+                    words.append(len(key.split()))
+        own = batch.select(["host_key", "text_in_host"]).take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(pos, pa.int32()), pa.array(keys, pa.int64()),
+                                          pa.array(words, pa.int32())], names=["host_key", "text_in_host", "pos", "key", "words"])
+
+
 def host_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     """host_key, text_in_host, pos, key, words: the non-blank lines of each distinct text of a host, once."""
-    lines = F.transform(lines_of(F.col("text")), lambda x, i: F.struct(i.alias("pos"), line_key(x).alias("key")))
-    lines = F.transform(F.filter(lines, lambda x: F.length(x["key"]) > 0), lambda x: F.struct(
-        x["pos"].alias("pos"), F.xxhash64(x["key"]).alias("key"),
-        F.regexp_count(x["key"], F.lit(WORD)).alias("words")))
-    rows = _keyed(docs.filter(F.col("text").isNotNull()), host).select(
-        "host_key", "text_in_host", F.explode_outer(lines).alias("line")).filter(F.col("line").isNotNull()).select("host_key", "text_in_host", "line.*")
+    rows = _keyed(docs.filter(F.col("text").isNotNull()), host).withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        _lines, "host_key long, text_in_host long, pos int, key long, words int")
     # Copies of a text give equal rows; they meet in the map-side combine first.
     return rows.groupBy("host_key", "text_in_host", "pos").agg(F.first("key").alias("key"), F.first("words").alias("words"))
 

@@ -221,7 +221,7 @@ SELECT id AS record_id, canonical, strftime(ts, '%Y-%m-%d %H:%M') AS ts, f.id AS
 FROM s
 """
 
-_TERM = r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"
+_SEP = licenses.SEPARATOR
 _TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
 _OP9 = f"""
 WITH f AS (
@@ -229,16 +229,16 @@ WITH f AS (
     len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length(x) <= 100 AND regexp_matches(lower(x), 'licen[sc]e|rights reserved'))) > 0 AS is_lic,
     coalesce(source, '_') || '/' || coalesce(lang, '_') || '/' || (doc_id // 1000) AS top FROM documents),
 p AS (SELECT *, top || CASE WHEN is_lic THEN '' ELSE '/' || (doc_id // 100) END AS dir FROM f),
-tpl AS (SELECT k, license, unnest(regexp_extract_all(lower(txt), '{_TERM}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, license, txt)),
+tpl AS (SELECT k, license, unnest(string_split_regex(lower(txt), '{_SEP}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, license, txt)),
 voc AS (SELECT DISTINCT term FROM tpl),
-doc_terms AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{_TERM}')) AS term FROM p),
+doc_terms AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '{_SEP}')) AS term FROM p),
 df AS (SELECT term, count(doc_id) AS df FROM voc LEFT JOIN doc_terms USING (term) GROUP BY term),
 n AS (SELECT count(*) AS n FROM p),
 idf AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS w FROM df, n),
 tv AS (SELECT k, license, term, count(*) * any_value(w) AS x FROM tpl JOIN idf USING (term) GROUP BY ALL),
 tu AS (SELECT k, license, term, x / sqrt(sum(x * x) OVER (PARTITION BY k)) AS x FROM tv),
-st AS (SELECT doc_id, row_number() OVER () AS sid, regexp_extract_all(lower(s), '{_TERM}') AS terms FROM (
-  SELECT doc_id, unnest(string_split(regexp_replace(text, '[.;!?](\s|$)', chr(10) || '\1', 'g'), chr(10))) AS s FROM p)
+st AS (SELECT doc_id, row_number() OVER () AS sid, list_filter(string_split_regex(lower(s), '{_SEP}'), lambda x: x <> '') AS terms FROM (
+  SELECT doc_id, unnest(string_split(regexp_replace(text, '[.;!?]([[:space:]]|$)', chr(10) || ' ', 'g'), chr(10))) AS s FROM p)
   WHERE regexp_matches(lower(s), 'licen|reserved|copyright|cc|version|apache|gnu|mit|public|released|terms')),
 bag AS (SELECT doc_id, sid, term, count(*) AS tf FROM (SELECT doc_id, sid, unnest(terms) AS term FROM st) GROUP BY ALL),
 wb AS (SELECT bag.*, tf * coalesce(w, (SELECT ln((n + 1) / 2) + 1 FROM n)) AS w FROM bag LEFT JOIN idf USING (term)),

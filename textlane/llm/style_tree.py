@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -67,17 +68,37 @@ MAIN_WORDS = frozenset("article story post entry articlebody postbody".split())
 _WORDS = re.compile(r"[a-z]+")
 
 
+_TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.I)
+
+
+@lru_cache(maxsize=1 << 16)
+def element(name: str, attrs: str) -> tuple[int, bool, bool, int]:
+    """(hash of its key, noise anywhere, noise outside an article, rank) of an element by its name and attributes."""
+    found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
+    words = set(_WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    role = found.get("role", "").lower()
+    plain = name in ("html", "body", "article", "main") or name[0] == "h" and name[1:].isdigit()
+    noise = (name in NOISE_TAGS or role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+             or "display:none" in found.get("style", "").replace(" ", "").lower() or not plain and bool(words & NOISE_WORDS))
+    rank = 3 if name == "article" else 2 if name == "main" or role == "main" else 0
+    if not rank and name in ("div", "section") and (words & MAIN_WORDS or found.get("itemprop", "").lower() == "articlebody"):
+        rank = 1
+    key = xxhash.xxh3_64_intdigest(f"{name}.{'.'.join(sorted(words))}") - (1 << 63)
+    return key, noise, name == "header" or not plain and bool(words & HEADER_WORDS), rank
+
+
 class Page:
     """Elements and text blocks of one page.
 
     ``parent``, ``tag``, ``path`` (hash of the chain of elements), ``style`` (hash of the child elements), ``noise`` (by the
     markup) and ``rank`` (3 article, 2 main, 1 marked by class, 0) describe the elements; a block is a list of (element, text).
+    Hashes are those of tuples of integers, which are the same in every process.
     """
 
     def __init__(self, source: str | None) -> None:
         self.parent, self.tag, self.path, self.style, self.noise, self.rank = [-1], [""], [0], [0], [False], [0]
         self.blocks: list[list[tuple[int, str]]] = []
-        self._depth, self._open, self._parts = [0], [0], []
+        self._depth, self._open, self._parts, self._inside = [0], [0], [], [False]
         self._parse(source or "")
 
     def _flush(self) -> None:
@@ -92,15 +113,15 @@ class Page:
 
     def _close(self, name: str, among: tuple[str, ...] | None = None) -> None:
         """Ends the innermost open element of that name (or among those); inline ends don't reach beyond their block."""
-        names = among or (name,)
+        names, tag = among or (name,), self.tag
         for k in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[k]]
-            if tag in names:
-                if any(self.tag[x] in BLOCK for x in self._open[k:]):
+            own = tag[self._open[k]]
+            if own in names:
+                if own in BLOCK or any(tag[x] in BLOCK for x in self._open[k:]):
                     self._flush()
                 del self._open[k:]
                 return
-            if tag in BLOCK and (among or name not in BLOCK):
+            if own in BLOCK and (among or name not in BLOCK):
                 return
 
     def _start(self, name: str, attrs: str) -> None:
@@ -110,30 +131,22 @@ class Page:
         if name in SIBLINGS:
             self._close(name, SIBLINGS[name])
         up = self._open[-1]
-        found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if attrs and attrs.strip(" /") else {}
-        marks = f"{found.get('class', '')} {found.get('id', '')}".lower() if found else ""
-        words = set(_WORDS.findall(marks)) if marks.strip() else set()
-        key = f"{name}.{'.'.join(sorted(words))}"
-        self.style[up] = xxhash.xxh3_64_intdigest(f"{self.style[up]},{key}")
+        key, noise, noise_outside, rank = element(name, attrs if attrs and _TELLING.search(attrs) else "")
+        self.style[up] = hash((self.style[up], key))
         if name in VOID:
             if name == "br":
                 self._parts.append((up, " "))
             return
-        inside = self.rank[up] >= 2 or any(self.rank[x] >= 2 for x in self._open)
-        role = found.get("role", "").lower()
-        plain = name in ("html", "body", "article", "main") or name[0] == "h" and name[1:].isdigit()
-        noise = self.noise[up] or name in NOISE_TAGS or role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-        noise = noise or "display:none" in found.get("style", "").replace(" ", "").lower()
-        noise = noise or not plain and bool(words & NOISE_WORDS)
-        noise = noise or not inside and (name == "header" or not plain and bool(words & HEADER_WORDS))
-        rank = 3 if name == "article" else 2 if name == "main" or role == "main" else 0
-        if not rank and name in ("div", "section") and (words & MAIN_WORDS or found.get("itemprop", "").lower() == "articlebody"):
-            rank = 1
+        inside = self._inside[up]
         depth = self._depth[up] + 1
-        path = self.path[up] if depth > MAX_PATH else xxhash.xxh3_64_intdigest(f"{self.path[up]}/{key}") - (1 << 63)
-        for column, value in zip((self.parent, self.tag, self.path, self.style, self.noise, self.rank, self._depth),
-                                 (up, name, path, 0, noise, rank, depth), strict=True):
-            column.append(value)
+        self.parent.append(up)
+        self.tag.append(name)
+        self.path.append(self.path[up] if depth > MAX_PATH else hash((self.path[up], key)))
+        self.style.append(0)
+        self.noise.append(self.noise[up] or noise or noise_outside and not inside)
+        self.rank.append(rank)
+        self._depth.append(depth)
+        self._inside.append(inside or rank >= 2)
         self._open.append(len(self.tag) - 1)
 
     def _parse(self, source: str) -> None:
@@ -203,10 +216,7 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, nodes, kinds, values = [], [], [], []
         for host, source in zip(batch.column("host_key").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source)
-            seen = set()
-            for k in range(1, len(page.tag)):
-                seen.add((page.path[k], 0, 0))
-                seen.add((page.path[k], 1, page.style[k] - (1 << 63)))
+            seen = {(node, 0, 0) for node in page.path[1:]} | {(node, 1, style) for node, style in zip(page.path[1:], page.style[1:], strict=True)}
             for block in page.blocks:
                 words = " ".join("".join(t for _, t in block).split())
                 value = xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63)
