@@ -53,41 +53,52 @@ def set_id(values: np.ndarray) -> int:
 
 
 _FACTORS = seeds(TOKENS, 5)[:, None]
+_PLACES = seeds(TOKENS, 6)
 
 
-def signature(values: np.ndarray) -> bytes:
-    """16 bits of each coordinate's minimum over the set."""
+def tokens(values: np.ndarray) -> np.ndarray:
+    """The 64-bit tokens of a set: the minimum of each coordinate's hash over the set, mixed with the coordinate."""
     low = np.full(TOKENS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(values), 2048):
         part = values[None, at:at + 2048] * _FACTORS
         low = np.minimum(low, (part ^ (part >> np.uint64(29))).min(axis=1))
-    return (mix(low) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+    return mix(low ^ _PLACES)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, sigs, known = [], [], {}
-        for values in shingle_sets(batch.column("text").to_pylist()):
-            if len(values):
-                key = set_id(values)
-                if key not in known:
-                    known[key] = signature(values)
-                ids.append(key)
-                sigs.append(known[key])
-            else:
-                ids.append(None)
-                sigs.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(ids, pa.int64()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "text_key", "set_id", "sig"])
+def _sign(threshold: float, runs: int):
+    """doc_id, text_key, set_id, sig (16 bits of each token) and paths (first level, of all runs) of every row."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roots = seeds(runs, 1234)
+        for batch in batches:
+            ids, found = [], {}
+            for values in shingle_sets(batch.column("text").to_pylist()):
+                ids.append(set_id(values) if len(values) else None)
+                if len(values) and ids[-1] not in found:
+                    found[ids[-1]] = tokens(values)
+            sigs, paths = {}, {}
+            known = list(found)
+            for at in range(0, len(known), 1024):
+                some = known[at:at + 1024]
+                matrix = np.stack([found[k] for k in some])
+                chosen = [_children(matrix, np.full(len(some), root), threshold) for root in roots]
+                row, path = np.concatenate([r for r, _ in chosen]), np.concatenate([p for _, p in chosen])
+                order = np.argsort(row, kind="stable")
+                ends = np.searchsorted(row[order], np.arange(len(some) + 1))
+                for k, key in enumerate(some):
+                    sigs[key] = matrix[k].astype(np.uint16).tobytes()
+                    paths[key] = path[order[ends[k]:ends[k + 1]]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(ids, pa.int64()),
+                 pa.array([sigs.get(k) for k in ids], pa.binary()), pa.array([paths.get(k) for k in ids], pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "set_id", "sig", "paths"])
+    return sign
 
 
 # --- chosen paths -----------------------------------------------------------------------------------------------------
 
-def _children(sigs: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, path) of every child that the rows' sets choose at their nodes."""
-    tokens = (np.arange(TOKENS, dtype=np.uint64)[None, :] << np.uint64(16)) | sigs.astype(np.uint64)
-    drawn = mix(mix(tokens * np.uint64(0x9E3779B97F4A7C15)) ^ nodes[:, None])
+def _children(own: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, path) of every child that the rows' sets (rows of tokens) choose at their nodes."""
+    drawn = mix(own ^ nodes[:, None])
     row, token = np.nonzero(drawn < np.uint64(int(2.0 ** 64 / (threshold * TOKENS))))
     return row, mix(drawn[row, token] + nodes[row]).view(np.int64)
 
@@ -96,26 +107,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, TOKENS)
 
 
-def _roots(threshold: float, runs: int):
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roots = seeds(runs, 1234)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sigs, ids = _matrix(batch.column("sig")), batch.column("set_id").to_numpy()
-            for root in roots:
-                row, path = _children(sigs, np.full(len(ids), root), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(path), pa.array(ids[row])], names=["path", "set_id"])
-    return choose
-
-
 def _split(threshold: float):
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sigs, ids = _matrix(batch.column("sig")), batch.column("set_id").to_numpy()
-            row, path = _children(sigs, batch.column("path").to_numpy().view(np.uint64), threshold)
+            # The 16 bits that signatures keep of a token are enough here: all sets of a bucket share longer tokens already.
+            ids = batch.column("set_id").to_numpy()
+            own = mix((np.arange(TOKENS, dtype=np.uint64)[None, :] << np.uint64(16)) | _matrix(batch.column("sig")).astype(np.uint64))
+            row, path = _children(own, batch.column("path").to_numpy().view(np.uint64), threshold)
             yield pa.RecordBatch.from_arrays([pa.array(path), pa.array(ids[row])], names=["path", "set_id"])
     return choose
 
@@ -131,9 +131,9 @@ def block_pairs(rows: DataFrame, group: str, size: str, block: int = BLOCK) -> D
     return rows.withColumns({"a": F.least("own", "_other"), "b": F.greatest("own", "_other")}).drop("_n", "_other", size)
 
 
-def _paths(sets: DataFrame, threshold: float, runs: int) -> DataFrame:
+def _paths(sets: DataFrame, threshold: float) -> DataFrame:
     """path, a, b, own, set_id of every leaf bucket of two sets or more."""
-    level = spread(sets.select("set_id", "sig").mapInArrow(_roots(threshold, runs), "path long, set_id long"), "paths")
+    level = sets.select(F.explode("paths").alias("path"), "set_id")
     leaves = []
     for depth in range(1, MAX_DEPTH + 1):
         many = level.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
@@ -313,15 +313,17 @@ def near_sets(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -
     """
     docs = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = spread(docs.mapInArrow(_sign, f"doc_id {kind}, text_key string, set_id long, sig binary"), "signed")
+    signed = spread(docs.mapInArrow(
+        _sign(threshold, runs), f"doc_id {kind}, text_key string, set_id long, sig binary, paths array<long>"), "signed")
     rows = signed.select("doc_id", "text_key", "set_id")
     known = signed.filter(F.col("set_id").isNotNull())
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")   # null ids last
     sets = spread(known.groupBy("set_id").agg(
-        F.min_by(F.struct("doc_id", "text_key"), first).alias("rep"), F.count("*").alias("n_docs"), F.first("sig").alias("sig"))
-        .select("set_id", F.col("rep.doc_id").alias("rep"), F.col("rep.text_key").alias("rep_key"), "n_docs", "sig"), "sets")
+        F.min_by(F.struct("doc_id", "text_key"), first).alias("rep"), F.count("*").alias("n_docs"), F.first("sig").alias("sig"),
+        F.first("paths").alias("paths"))
+        .select("set_id", F.col("rep.doc_id").alias("rep"), F.col("rep.text_key").alias("rep_key"), "n_docs", "sig", "paths"), "sets")
 
-    buckets = _paths(sets, threshold, runs).join(sets.select("set_id", "sig"), "set_id")
+    buckets = _paths(sets, threshold).join(sets.select("set_id", "sig"), "set_id")
     keys = ["path", "a", "b"]
     edges = buckets.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_near(threshold), "u long, v long")
     clusters = components(spread(edges.distinct(), "near-edges")).withColumnRenamed("label", "cluster")
@@ -336,7 +338,7 @@ def near_sets(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS) -
                    .mapInArrow(_exact(threshold), "set_id long, n_links long, hub long"), "links")
     links = found.groupBy("set_id").agg(F.sum("n_links").alias("n_links"))
     labels = components(found.filter("set_id <> hub").select(F.col("hub").alias("u"), F.col("set_id").alias("v")))
-    linked = sets.drop("sig").join(links, "set_id", "left").join(labels, "set_id", "left")
+    linked = sets.drop("sig", "paths").join(links, "set_id", "left").join(labels, "set_id", "left")
     linked = spread(linked.withColumn("label", F.coalesce("label", "set_id")), "linked")
     groups = linked.groupBy("label").agg(F.min("rep").alias("class_id"))
     sets = linked.join(groups, "label").select("set_id", "rep", "rep_key", "n_docs", F.coalesce(
