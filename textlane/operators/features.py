@@ -68,8 +68,9 @@ def label_map_from_pairs(df: DataFrame, idx: str, label: str) -> DataFrame:
 
 
 def invert_label_map(label_map: DataFrame) -> DataFrame:
-    """label -> idx; when a label repeats, the later (largest) key wins."""
-    return label_map.groupBy("label").agg(F.max("idx").alias("idx"))
+    """label -> idx; when a label repeats, the largest key wins: numbers by value, before them other strings by order."""
+    number = F.expr("try_cast(idx AS DECIMAL(38,0))")
+    return label_map.groupBy("label").agg(F.max_by("idx", F.struct(number, "idx")).alias("idx"))
 
 
 def decode_labels(df: DataFrame, col: str, label_map: DataFrame, out: str = "label") -> DataFrame:

@@ -108,9 +108,16 @@ def auc_per_class(proba: DataFrame, y: str = "y", label: str = "label", score: s
                              F.col("_num") / (F.col("pos") * F.col("neg"))).alias("auc"))
 
 
-def confusion_matrix(pred: DataFrame, labels: list[str], y: str = "y", p: str = "p",
+def confusion_matrix(pred: DataFrame, labels: list[str] | None = None, y: str = "y", p: str = "p",
                      by: tuple[str, ...] = ()) -> DataFrame:
-    """Rows = true label, one column per predicted label (given list), zeros filled."""
+    """Rows = true label, one column per label, zeros filled.
+
+    Without a list the columns are all labels that occur, true or predicted
+    (one row per class reaches the driver, as for any pivot).
+    """
+    if labels is None:
+        seen = pred.select(F.explode(F.array(F.col(y), F.col(p))).alias("label")).filter("label IS NOT NULL").distinct()
+        labels = sorted(r["label"] for r in seen.collect())
     return (pred.groupBy(*by, F.col(y).alias("y")).pivot(p, labels).count()
             .na.fill(0, subset=labels))
 

@@ -14,8 +14,11 @@ from textlane.operators.sampling import grouped_rank
 
 
 def runs_wide(metrics: DataFrame, run: str, key: str, value: str, order: list[str],
-              keys: list[str]) -> DataFrame:
-    """One row per run, one column per metric key: the latest value (by ``order``)."""
+              keys: list[str] | None = None) -> DataFrame:
+    """One row per run, one column per metric key: the latest value (by ``order``).
+
+    Without a list of keys every key that occurs gets a column.
+    """
     latest = F.max_by(F.col(value), F.struct(*order))
     return metrics.groupBy(run).pivot(key, keys).agg(latest)
 

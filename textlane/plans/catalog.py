@@ -17,8 +17,6 @@ from textlane.operators import clean, features as feat, metrics as met, models,
 from textlane.session import fresh_path, materialize, table
 from textlane.sources import files
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-LANGS = ["de", "en", "es", "fr"]
 SPLIT_SEED, TEST_SIZE = 42, 0.3
 PROBA_DIGITS = 9
 
@@ -368,7 +366,7 @@ def e4_auc_ovr(spark, d):
 
 def e5_confusion(spark, d):
     pred, _ = nb_predictions(spark, d, lang_split(spark, d))
-    return met.confusion_matrix(pred, LANGS, by=("split",))
+    return met.confusion_matrix(pred, by=("split",))
 
 
 def e6_report(spark, d):
@@ -416,7 +414,7 @@ def _events(spark, d):
 
 
 def r1_runs_wide(spark, d):
-    w = runs.runs_wide(_events(spark, d), "user_id", "event_type", "value", ["ts", "event_id"], EVENT_TYPES)
+    w = runs.runs_wide(_events(spark, d), "user_id", "event_type", "value", ["ts", "event_id"])
     return w
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,8 +49,10 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system path
-    the cluster names).  Only when it is unset, as in local tests, a private
-    folder under the system temp dir is created and registered.
+    the cluster names).  Only when it is unset and the master is local, as in
+    tests, a private folder under the system temp dir is created and
+    registered; on a cluster an unset folder is an error, because executors
+    and driver would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +60,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {sc.master})")
         path = tempfile.mkdtemp(prefix="textlane-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
