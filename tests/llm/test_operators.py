@@ -318,11 +318,14 @@ def test_style_tree(spark):
            f"{body}<aside>side</aside><footer>f</footer>"
     want = "T & x\nFirst line goes on\nSecond <one>"
     rows = [(1, "http://h.org/1", page), (1, "http://h.org/1", page), (2, None, None), (3, "http://h.org/2", ""), (None, "http://h.org/3", "plain"),
-            (4, "x", "<p>unclosed <b class='x>text"), (5, "http://h.org/5", "<div>" * 3000 + "deep"), (6, "http://h.org/6", "<main><p>m</main><p>out")]
+            (4, "x", "<p>unclosed <b class='x>text"), (5, "http://h.org/5", "<div>" * 3000 + "deep"), (6, "http://h.org/6", "<main><p>m</main><p>out"),
+            (7, "x", "<div id=content><p>a long text that no class marks</p></div><div class='post'>small</div>"),
+            (8, "x", "<div class='post'><p>a long text that its class marks</p></div><div>other</div>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("low", F.lit(1)).withColumn("host_key", F.lit(2))
     out = style_tree.extract(df).collect()
     by = {r.page_id: r.text for r in out}
     assert len(out) == len(rows) and by[1] == want and by[2] == "" and by[3] == "" and by[None] == "plain" and by[5] == "deep" and by[6] == "m"
+    assert by[7] == "a long text that no class marks\nsmall" and by[8] == "a long text that its class marks"
     assert by[4].startswith("unclosed")
     assert style_tree.extract(df.limit(0)).count() == 0
 

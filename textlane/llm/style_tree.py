@@ -185,8 +185,19 @@ class Page:
         return {k for k, r in enumerate(self.rank) if r == best and not self.noise[k]} if best else set()
 
     def text(self, low: set[int]) -> str:
-        """The article: its blocks without noise and without branches of low importance."""
-        main, out = self.main_nodes(), []
+        """The article: its blocks without noise and without branches of low importance.
+
+        Containers that only their class marks count if they hold at least half of what the body would give.
+        """
+        main = self.main_nodes()
+        found = self._blocks_of(main, low)
+        if main and all(self.rank[k] == 1 for k in main):
+            whole = self._blocks_of(set(), low)
+            return found if 2 * len(found) >= len(whole) else whole
+        return found
+
+    def _blocks_of(self, main: set[int], low: set[int]) -> str:
+        out = []
         state: dict[int, tuple[bool, bool]] = {0: (not main, False)}   # element -> (inside the article, removed)
 
         def look(node: int) -> tuple[bool, bool]:
