@@ -27,6 +27,8 @@ SHARDS = 16
 BUCKET_DIGITS = 3
 #: Groups of more rows are ranked in pieces.
 PIECE_ROWS = 8192
+#: Groups of more than one such part of all rows (so fewer groups than this) meet their rows in pieces too.
+HOT_PARTS = 1000
 
 
 def offsets(totals: DataFrame, groups: list[str], piece: str, sums: list[str]) -> DataFrame:
@@ -62,7 +64,14 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                       (F.col("bytes_before") + F.col("bytes_in")).alias("first_byte"),
                       (F.col("bytes") <= F.greatest("largest", F.expr(f"total div ({shards} * 100)"))).alias("as_one")))
 
-    rows = rows.join(placed, "h")
+    # The join of rows to groups: a hot group is repeated for each of its salts, any other stands once, under the empty salt.
+    hot = groups.filter(F.col("n") * HOT_PARTS > groups.select(F.sum("n")).scalar()).select("h", F.lit(True).alias("hot"))
+    digits = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.lower(F.lpad(F.hex(i), 2, "0")))
+    placed = (placed.join(F.broadcast(hot), "h", "left")   # fewer than HOT_PARTS rows
+              .withColumn("salt", F.explode(F.when(F.col("hot"), digits).otherwise(F.array(F.lit(""))))).drop("hot"))
+    rows = (rows.join(F.broadcast(hot), "h", "left")
+            .withColumn("salt", F.when(F.col("hot"), F.substring("d", 1, 2)).otherwise(F.lit(""))).drop("hot")
+            .join(placed, ["h", "salt"]).drop("salt"))
     rows = rows.withColumn("piece", F.when(F.col("rows_in_group") > PIECE_ROWS, F.substring("d", 1, BUCKET_DIGITS))
                            .otherwise(F.lit("")))
     pieces = (rows.filter(F.col("rows_in_group") > PIECE_ROWS).groupBy("h", "piece").agg(F.count("*").alias("n")))
