@@ -25,10 +25,10 @@ from textlane.llm.common import order_hash, spread, text_of
 SHARDS = 16
 #: Hex digits of a hash that name a bucket: 4,096 of them.
 BUCKET_DIGITS = 3
-#: Groups of more rows are ranked in pieces.
-PIECE_ROWS = 8192
-#: Groups of more than one such part of all rows (so fewer groups than this) meet their rows in pieces too.
-HOT_PARTS = 1000
+#: Groups of more than one such part of all rows (so fewer groups than this) are joined and ranked in pieces.
+HOT_PARTS = 10_000
+#: Hex digits of the id's hash that name a piece of a hot group.
+PIECE_DIGITS = 2
 
 
 def offsets(totals: DataFrame, groups: list[str], piece: str, sums: list[str]) -> DataFrame:
@@ -59,25 +59,20 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     w = W.partitionBy("bucket").orderBy("h").rowsBetween(W.unboundedPreceding, -1)
     placed = (groups.withColumns({f"{c}_in": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in ("n", "bytes")})
               .join(F.broadcast(before), "bucket")   # a row per bucket: 16^BUCKET_DIGITS at most
-              .select("h", F.col("n").alias("rows_in_group"), F.col("bytes").alias("group_bytes"), "total",
+              .select("h", F.col("bytes").alias("group_bytes"), "total",
                       (F.col("n_before") + F.col("n_in")).alias("first_row"),
                       (F.col("bytes_before") + F.col("bytes_in")).alias("first_byte"),
                       (F.col("bytes") <= F.greatest("largest", F.expr(f"total div ({shards} * 100)"))).alias("as_one")))
 
-    # The join of rows to groups: a hot group is repeated for each of its salts, any other stands once, under the empty salt.
+    # A hot group is cut into pieces by the id's hash; any other group is one piece, named "".
     hot = groups.filter(F.col("n") * HOT_PARTS > groups.select(F.sum("n")).scalar()).select("h", F.lit(True).alias("hot"))
-    digits = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.lower(F.lpad(F.hex(i), 2, "0")))
-    placed = (placed.join(F.broadcast(hot), "h", "left")   # fewer than HOT_PARTS rows
-              .withColumn("salt", F.explode(F.when(F.col("hot"), digits).otherwise(F.array(F.lit(""))))).drop("hot"))
-    rows = (rows.join(F.broadcast(hot), "h", "left")
-            .withColumn("salt", F.when(F.col("hot"), F.substring("d", 1, 2)).otherwise(F.lit(""))).drop("hot")
-            .join(placed, ["h", "salt"]).drop("salt"))
-    rows = rows.withColumn("piece", F.when(F.col("rows_in_group") > PIECE_ROWS, F.substring("d", 1, BUCKET_DIGITS))
-                           .otherwise(F.lit("")))
-    pieces = (rows.filter(F.col("rows_in_group") > PIECE_ROWS).groupBy("h", "piece").agg(F.count("*").alias("n")))
-    rows = rows.join(offsets(pieces, ["h"], "piece", ["n"]), ["h", "piece"], "left")
-    rank = F.row_number().over(W.partitionBy("h", "piece").orderBy("d", "doc_id")) - 1 + F.coalesce("n_before", F.lit(0))
-    rows = rows.withColumn("rank", rank)
+    rows = (rows.join(F.broadcast(hot), "h", "left")   # fewer than HOT_PARTS rows
+            .withColumn("piece", F.when(F.col("hot"), F.substring("d", 1, PIECE_DIGITS)).otherwise(F.lit(""))).drop("hot"))
+    pieces = rows.filter(F.col("piece") != "").groupBy("h", "piece").agg(F.count("*").alias("n"))
+    placed = (placed.join(offsets(pieces, ["h"], "piece", ["n"]), "h", "left")
+              .fillna({"piece": "", "n_before": 0}))
+    rank = F.row_number().over(W.partitionBy("h", "piece").orderBy("d", "doc_id")) - 1 + F.col("n_before")
+    rows = rows.join(placed, ["h", "piece"]).withColumn("rank", rank)
     twice_mid = F.when(F.col("as_one"), 2 * F.col("first_byte") + F.col("group_bytes")).otherwise(
         2 * (F.col("first_byte") + F.col("rank") * F.col("size")) + F.col("size"))
     rows = spread(rows.select(
