@@ -8,20 +8,28 @@ from pyspark.sql import functions as F
 # Token rules.  ``words`` is the vectorizer-style rule: runs of two or more
 # letters, digits or underscores (Unicode classes, so Java and RE2 agree).
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
-# ``treebank`` keeps clitics and single punctuation marks as their own tokens.
+# ``treebank`` keeps contractions and single punctuation marks as their own tokens: contractions are set off by
+# blanks first, so that no rule needs to look around.
+CONTRACTIONS = [
+    (r"([\p{L}\p{N}_])n't([^\p{L}\p{N}_]|$)", "$1 n't $2"),
+    (r"([\p{L}\p{N}_])('(?:ll|re|ve|s|m|d))([^\p{L}\p{N}_]|$)", "$1 $2 $3"),
+]
 TREEBANK_PATTERN = (
-    r"(?:n't|'ll|'re|'ve|'s|'m|'d)(?![\p{L}\p{N}])"
-    r"|[\p{L}\p{N}_]+(?=n't)"
+    r"n't|'(?:ll|re|ve|s|m|d)"
     r"|\p{N}+(?:[.,]\p{N}+)*"
     r"|[\p{L}\p{N}_]+(?:-[\p{L}\p{N}_]+)*"
-    r"|[^\s\p{L}\p{N}_]"
+    r"|[^ \t\n\r\f\x0b\p{L}\p{N}_]"
 )
 TOKEN_PATTERNS = {"words": WORD_PATTERN, "treebank": TREEBANK_PATTERN}
 
 
 def tokens(text: Column, mode: str = "words") -> Column:
     """Lower-case ``text`` and split it into an array of tokens."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERNS[mode]), 0)
+    text = F.lower(text)
+    if mode == "treebank":
+        for pattern, apart in CONTRACTIONS:
+            text = F.regexp_replace(text, pattern, apart)
+    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERNS[mode]), 0)
 
 
 def unit_hash(*cols: Column, seed: int = 0) -> Column:

@@ -80,3 +80,12 @@ def run_durations(metrics: DataFrame, run: str, ts: str) -> DataFrame:
         F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"),
         F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)).alias("duration_us"),
         F.count(F.lit(1)).alias("n_values"))
+
+
+def run_status(metrics: DataFrame, run: str, key: str, order: list[str], finished: tuple[str, ...],
+               failed: tuple[str, ...]) -> DataFrame:
+    """``(run, start_ts, end_ts, status)``: the latest event (by ``order``, its first column a time) tells the status."""
+    latest = F.max_by(key, F.struct(*order))
+    return metrics.groupBy(run).agg(F.min(order[0]).alias("start_ts"), F.max(order[0]).alias("end_ts"), latest.alias("_last")).select(
+        run, "start_ts", "end_ts", F.when(F.col("_last").isin(*failed), F.lit("FAILED"))
+        .when(F.col("_last").isin(*finished), F.lit("FINISHED")).otherwise(F.lit("RUNNING")).alias("status"))

@@ -25,7 +25,7 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
               multiline: bool = False, sep: str = ".") -> DataFrame:
     """JSON records (JSON lines, or one array per file with ``multiline``), flattened."""
     r = spark.read.option("multiLine", multiline)
@@ -83,10 +83,11 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_stopword_dir(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of one-word-per-line files named by language -> ``(lang, term)``."""
-    return (spark.read.text(path)
-            .select(F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)$", 1).alias("lang"),
+def read_stopword_dir(spark: SparkSession, path: str, name: str = r"([^/]+)$") -> DataFrame:
+    """A folder of one-word-per-line files -> ``(lang, term)``; the language is what ``name`` finds in the file's path
+    (by default the file's name)."""
+    return (spark.read.option("recursiveFileLookup", True).text(path)
+            .select(F.regexp_extract(F.col("_metadata.file_path"), name, 1).alias("lang"),
                     F.trim("value").alias("term"))
             .filter(F.col("term") != ""))
 
