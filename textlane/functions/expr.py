@@ -55,12 +55,3 @@ def plus_concat(a: Column, b: Column, sep: str = " + ") -> Column:
 
 def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
-
-
-def round_half_even(c: Column, digits: int = 2) -> Column:
-    return F.bround(c, digits)
-
-
-def argmax_index(arr: Column) -> Column:
-    """0-based position of the first maximum of an array column."""
-    return F.array_position(arr, F.array_max(arr)) - F.lit(1)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,7 +89,3 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
     return df.join(F.broadcast(w), label)   # one row per class
-
-
-def test_count(n: int, test_size: float) -> int:
-    return math.ceil(test_size * n)

@@ -143,7 +143,8 @@ def s10_runstore_scan(spark, d):
                       F.col("event_type").alias("key"),
                       F.concat_ws(" ", F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
                                   F.col("value").cast("string"), F.col("event_id").cast("string")).alias("line"))
-    lines.write.partitionBy("exp", "run", "key").text(root)
+    # clustered first, so that each (run, key) is one file
+    lines.repartition("run", "key").write.partitionBy("exp", "run", "key").text(root)
     m = files.scan_run_metrics(spark, root, r"/exp=([^/]+)/run=([^/]+)/key=([^/]+)/[^/]+$")
     return m.groupBy(F.col("run_id").cast("bigint").alias("user_id"), "key").agg(
         F.count(F.lit(1)).alias("n_values"), _r(F.max_by("value", F.struct("ts_ms", "step"))).alias("last_value"),

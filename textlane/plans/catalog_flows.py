@@ -37,10 +37,12 @@ def s6_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     vocab = feat.with_idf(feat.vocabulary(tf), feat.doc_count(docs(spark, d)))
     path = files.versioned_path(fresh_path(spark, "vectorizer"), "tfidf", 1)
     mllib.save_model(mllib.tfidf_vectorizer(vocab), path)
-    out = mllib.load_model(path).transform(toks)
-    weights = F.filter(mllib.vector_to_array("features"), lambda x: x > 0)
-    return out.select("doc_id", weights.alias("w")).select(
-        "doc_id", F.size("w").cast("bigint").alias("n_terms"), _r(F.aggregate("w", F.lit(0.0), lambda a, x: a + x)).alias("w_sum"))
+    rows = fresh_path(spark, "vectors")
+    mllib.load_model(path).transform(toks).select("doc_id", "features").write.parquet(rows)
+    # Read as what a vector is in the file, so that a sparse one is never spread over the whole vocabulary.
+    out = spark.read.schema("doc_id bigint, features struct<indices array<int>, values array<double>>").parquet(rows)
+    return out.select("doc_id", F.size("features.values").cast("bigint").alias("n_terms"),
+                      _r(F.aggregate("features.values", F.lit(0.0), lambda a, x: a + x)).alias("w_sum"))
 
 
 def s11_run_log(spark: SparkSession, d: str) -> DataFrame:

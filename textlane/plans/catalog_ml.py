@@ -11,6 +11,7 @@ from textlane.operators.text_chain import processed_text
 from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
                                     tfidf_features)
 from textlane.session import materialize, table
+from textlane.sources import files
 
 # Trees look at every feature in every node; their vocabulary is bounded (README names it), linear models' is not.
 TREE_TERMS = 2000
@@ -51,7 +52,7 @@ def _fit_predict(frame: DataFrame, lmap: DataFrame, estimator) -> DataFrame:
 
 def m3_logreg(spark, d):
     frame, lmap = _vector_frame(spark, d, quality_split(spark, d))
-    frame = frame.checkpoint()
+    frame = materialize(frame, "logreg-rows")
     n_train = frame.filter(F.col("split") == "train").count()
     pred = _fit_predict(frame, lmap, mllib.logistic_regression(n_train, C=1.0, multiclass="ovr"))
     return pred.select("doc_id", "split", "y", "p")
@@ -61,7 +62,7 @@ def m4_logreg_variants(spark, d):
     frame, lmap = _vector_frame(spark, d, quality_split(spark, d))
     # Weights of the training rows only; test labels must not set them.
     weights = sampling.class_weights(frame.filter(F.col("split") == "train"), "label_idx").select("label_idx", "weight")
-    frame = frame.join(weights, "label_idx", "left").checkpoint()
+    frame = materialize(frame.join(weights, "label_idx", "left"), "weighted-rows")
     n_train = frame.filter(F.col("split") == "train").count()
     out = None
     for name, est in [("l2", mllib.logistic_regression(n_train, C=1.0, penalty="l2", multiclass="multinomial")),
@@ -75,7 +76,7 @@ def m4_logreg_variants(spark, d):
 
 def m5_tree(spark, d):
     frame, lmap = _vector_frame(spark, d, lang_split(spark, d), TREE_TERMS)
-    pred = _fit_predict(frame.checkpoint(), lmap, mllib.decision_tree(max_depth=MAX_TREE_DEPTH, min_instances=2))
+    pred = _fit_predict(materialize(frame, "tree-rows"), lmap, mllib.decision_tree(max_depth=MAX_TREE_DEPTH, min_instances=2))
     return pred.select("doc_id", "split", "y", "p")
 
 
@@ -87,11 +88,10 @@ def _embedding_split(spark, d):
 def m6_forest(spark, d):
     sp = _embedding_split(spark, d)
     lmap = feat.ordinal_label_map(sp, "y")
-    frame = (feat.encode_labels(sp, "y", lmap, "label_idx").withColumn("label_idx", F.col("label_idx").cast("double"))
-             .withColumn("features", F.col("embedding")))
-    from pyspark.ml.functions import array_to_vector
-    frame = frame.withColumn("features", array_to_vector("embedding")).checkpoint()
-    model = mllib.fit(mllib.random_forest(num_trees=100, seed=37), frame.filter(F.col("split") == "train"))
+    frame = feat.encode_labels(sp, "y", lmap, "label_idx").withColumn("label_idx", F.col("label_idx").cast("double"))
+    frame = materialize(files.to_vectors(frame, "embedding"), "forest-rows")
+    forest = mllib.random_forest(num_trees=100, seed=37, max_depth=MAX_TREE_DEPTH)
+    model = mllib.fit(forest, frame.filter(F.col("split") == "train"))
     pred = _decoded(mllib.predictions(model, frame, ("vec_id", "split", "y")), lmap)
     return pred.select("vec_id", "split", "y", "p")
 
@@ -102,9 +102,8 @@ def l3_forest_accuracy(spark, d):
 
 def l4_logreg_embeddings(spark, d):
     """Small multinomial logistic regression on the numeric matrix, accuracy on its own training rows."""
-    from pyspark.ml.functions import array_to_vector
-    emb = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("double").alias("label_idx"),
-                                               array_to_vector("embedding").alias("features"))
+    emb = files.to_vectors(table(spark, d, "embeddings").select("vec_id", F.col("label").cast("double").alias("label_idx"),
+                                                                "embedding"), "embedding")
     n = emb.count()
     model = mllib.fit(mllib.logistic_regression(n, C=0.1, multiclass="multinomial"), emb)
     pred = model.transform(emb)
@@ -115,7 +114,7 @@ def l2_model_table(spark, d):
     """NB, logistic regression and a tree on one split: one long metric table."""
     sp = quality_split(spark, d)
     frame, lmap = _vector_frame(spark, d, sp)
-    frame = frame.checkpoint()
+    frame = materialize(frame, "logreg-rows")
     n_train = frame.filter(F.col("split") == "train").count()
     x, _, _, v = tfidf_features(spark, d, materialize=True)
     nb = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
@@ -221,7 +220,8 @@ def l1_pipeline_nb(spark, d):
     tf = feat.term_counts(long)
     vocab = feat.vocabulary(tf)
     n = feat.doc_count(docs(spark, d))
-    x = feat.tfidf(tf, feat.with_idf(vocab, n)).checkpoint()
+    x = feat.tfidf(tf, feat.with_idf(vocab, n))
+    x = materialize(x, "tfidf")
     v = int(x.select(F.countDistinct("term")).first()[0])
     sp = sampling.split_by_hash(docs(spark, d).select("doc_id", F.col("lang").alias("y")), "doc_id", 0.2, 37)
     model = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
@@ -232,15 +232,15 @@ def l1_pipeline_nb(spark, d):
                                      _r("recall").alias("recall"), _r("f1").alias("f1"), "n")
 
 
-def f13_feature_stage(spark, d, k: int = 4, iters: int = 10):
-    """Processed text -> bounded TF-IDF -> NMF fit -> doc-topic table, dominant topic and its label."""
+def f13_feature_stage(spark, d, k: int = 4, iters: int = 200):
+    """Processed text -> bounded TF-IDF -> NMF fitted to its tolerance -> doc-topic table, dominant topic and its label."""
     pt = processed_text(docs_by_id(spark, d, "text"))
     long = text.explode_tokens(pt.select("doc_id", token_expr(F.col("processed_text")).alias("tokens")))
     tf = feat.term_counts(long)
     n = feat.doc_count(docs(spark, d))
     vocab = feat.with_idf(feat.bounded_vocabulary(feat.vocabulary(tf), n, 2, 0.95), n)
-    X = feat.tfidf(tf, vocab).select("doc_id", "term", F.col("w").alias("x"))
-    state, _ = topics.fit_nmf(X, k=k, max_iter=iters, seed=123, eval_every=5)
+    X = materialize(feat.tfidf(tf, vocab).select("doc_id", "term", F.col("w").alias("x")), "nmf-x")
+    state, _ = topics.fit_nmf(X, k=k, max_iter=iters, seed=123, eval_every=10)
     words = topics.topic_words(state.H, 3).select(F.col("topic").cast("string").alias("idx"),
                                                   F.col("words").alias("label"))
     dom = topics.dominant_topic(state.W)
