@@ -259,6 +259,16 @@ def test_shards(spark, odd, empty):
     assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(16) for k in range(sum(r.shard == s for r in out))]
 
 
+def test_shards_do_not_depend_on_what_counts_as_hot(spark, odd, monkeypatch):
+    rows = [(k, "same text" if k % 3 == 0 else f"text {k}", "en", "a", 0) for k in range(300)]
+    df = spark.createDataFrame(rows, DOC).unionByName(odd.select("doc_id", "text", "lang", "source", "n_chars"))
+    got = []
+    for parts in (1, 50, 10_000):   # no group is hot, the largest ones are, all are
+        monkeypatch.setattr(sharding, "HOT_PARTS", parts)
+        got.append(sorted(map(str, sharding.shard_by_bytes(df).collect())))
+    assert len(got[0]) == df.count() and got[0] == got[1] == got[2]
+
+
 # --- 7 ---
 
 def test_decontamination(spark, odd, empty, monkeypatch):
