@@ -306,6 +306,31 @@ def test_decontamination(spark, odd, empty, monkeypatch):
     assert decontaminate.contaminated(empty, bench).count() == 0 and decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_edited_passages():
+    """Recall of edited passages whose item-sized window reaches the similarity by brute force."""
+    rng = random.Random(31)
+    items = [(k, " ".join(words(rng, 55 if k % 2 else 150))) for k in range(120)]
+    index = decontaminate.Items(items, decontaminate.RADIUS)
+    docs = []
+    for k, text in items:
+        for kind in ("change", "insert", "delete"):
+            passage = text.split()
+            for _ in range(1 if k % 2 else 3):
+                at = rng.randrange(len(passage))
+                passage[at:at + (kind != "insert")] = ["edit"] * (kind != "delete")
+            docs.append((k, " ".join(words(rng, 30) + passage + words(rng, 30))))
+    reached = []
+    for (k, text), s in zip(docs, decontaminate.text_shingles([t for _, t in docs]), strict=True):
+        m = len(index.shingles[k])
+        if max(decontaminate.similarity(s[i:i + m], index.counts[k], m) for i in range(len(s) - m + 1)) >= 0.8:
+            reached.append((k, text))
+    got = {(place, item) for place, item, *_ in decontaminate._hits([t for _, t in reached], index, 0.8)}
+    found = Counter(k % 2 for place, (k, _) in enumerate(reached) if (place, k) in got)
+    of = Counter(k % 2 for k, _ in reached)
+    assert of[0] > 100 and of[1] > 100
+    assert all(found[size] >= 0.96 * of[size] for size in of), (found, of)
+
+
 def test_block_index_finds_all_within_radius():
     import numpy as np
     rng = np.random.default_rng(3)
@@ -319,6 +344,20 @@ def test_block_index_finds_all_within_radius():
     assert {*zip(a.tolist(), c.tolist(), strict=True)} == {*zip(*(x.tolist() for x in np.nonzero(far <= 11)), strict=True)}
 
 
+def test_block_index_finds_all_within_its_own_radius():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 2 ** 63, 300).astype(np.uint64)
+    asked = prints[rng.integers(0, 300, 2000)].copy()
+    for k in range(len(asked)):
+        for b in rng.choice(64, size=k % 20, replace=False):
+            asked[k] ^= np.uint64(1) << np.uint64(b)
+    a, c = decontaminate.BlockIndex(prints).search(asked)
+    far = np.bitwise_count(asked[:, None] ^ prints[None, :])
+    near = np.nonzero(far <= decontaminate.RADIUS)
+    assert {*zip(a.tolist(), c.tolist(), strict=True)} == {*zip(*(x.tolist() for x in near), strict=True)}
+
+
 # --- 8 ---
 
 def test_style_tree(spark):

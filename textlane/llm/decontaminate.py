@@ -6,7 +6,8 @@ and a document is fingerprinted at a stride so small that each place where the w
 window that is aligned with one of the item's first and one of its last.  Work per document word is a few windows,
 whatever the number of items.
 
-Fingerprints within ``RADIUS`` of 64 bits are all found: four blocks of 16 bits are looked up with all values within
+Fingerprints within ``RADIUS`` of 64 bits are all found (windows at the similarity of 0.8 differ in about 10 bits on average, so
+the radius is well above that): four blocks of 16 bits are looked up with all values within
 RADIUS // 4 of theirs (two strings within RADIUS agree up to RADIUS // 4 in at least one of four blocks), and the
 whole distance is checked.  Each hit is then verified by the weighted Jaccard similarity (shingles weighted by their
 multiplicity) of the item and the item-sized window of the document.
@@ -29,7 +30,7 @@ from textlane.llm.common import hashed_words, shingles
 
 WIDTH = 5
 SIMILARITY = 0.8
-RADIUS = 11
+RADIUS = 15
 #: Items that a task holds at a time (expected; items are dealt to blocks by hash).
 ITEM_BLOCK = 2000
 #: So many shingles are fingerprinted at a time: short texts together, long ones in pieces that overlap by the longest item.
