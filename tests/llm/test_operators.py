@@ -161,6 +161,17 @@ def test_line_frequency(spark, odd, empty):
     assert sorted(r.kept_text for r in stripped) == sorted(t.split("\n")[1] for _, t, *_ in rows[:30])
 
 
+def test_line_frequency_does_not_loosen_as_the_host_grows(spark):
+    rng = random.Random(3)
+    common = " ".join(f"boilerplate{k}" for k in range(40))
+    group = [common + "\n" + " ".join(words(rng, 12)) for _ in range(12)]
+    rows = [(k, t, "en", "small", 0) for k, t in enumerate(group)] + [(100 + k, t, "en", "large", 0) for k, t in enumerate(group)]
+    rows += [(1000 + k, " ".join(words(rng, 25)), "en", "large", 0) for k in range(1500)]
+    out = {r.doc_id: r for r in quality_lines.judge(spark.createDataFrame(rows, DOC)).collect()}
+    assert all((out[k].removed_words, out[k].kept) == (out[100 + k].removed_words, out[100 + k].kept) == (40, False) for k in range(12))
+    assert all(r.kept and r.removed_words == 0 for k, r in out.items() if k >= 1000)
+
+
 def test_repeat_words():
     text = ("a b c d e f g h " * 2 + "x y z").strip()
     raw = text.encode()

@@ -3,8 +3,9 @@
 Base rules look at one document: word counts, symbols, repeated lines and
 words inside repeated eight-word windows.  The method looks across documents:
 normalised lines are hashed per host, distinct texts per (host, line) are
-counted, lines above the limits are taken out, and a document of which too
-few words are left is rejected as depleted.
+counted, lines above the limit are taken out, and a document of which too
+few words are left is rejected as depleted.  The limit is a number of texts,
+not a share of the host's, so that a verdict does not loosen as the host grows.
 
 Distinct *texts* are counted, so that a text is not rejected for having many
 exact copies (removing copies is another operator's work).
@@ -25,8 +26,9 @@ MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
-#: A line is removed if at least so many of its host's distinct texts have it, and at least this share of them.
+#: A line is removed if at least so many of its host's distinct texts have it.
 MIN_LINE_DOCS = 10
+#: Read by the SQL only, which asks for this share of the host's texts too (it binds on hosts of more than 1,000 texts).
 MIN_LINE_SHARE = 0.01
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT_SHARE = 0.3
@@ -108,15 +110,13 @@ def host_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     return rows.groupBy("host_key", "text_in_host", "pos").agg(F.first("key").alias("key"), F.first("words").alias("words"))
 
 
-def common_lines(lines: DataFrame, min_docs: int = MIN_LINE_DOCS, min_share: float = MIN_LINE_SHARE) -> DataFrame:
-    """host_key, key of the lines above both limits; hosts' sizes are counted over the same texts."""
-    hosts = lines.select("host_key", "text_in_host").distinct().groupBy("host_key").agg(F.count("*").alias("host_texts"))
+def common_lines(lines: DataFrame, min_docs: int = MIN_LINE_DOCS) -> DataFrame:
+    """host_key, key of the lines that at least ``min_docs`` distinct texts of the host have."""
     return (lines.groupBy("host_key", "key").agg(F.count_distinct("text_in_host").alias("n"))
-            .filter(F.col("n") >= min_docs).join(hosts, "host_key")
-            .filter(F.col("n") >= F.lit(min_share) * F.col("host_texts")).select("host_key", "key"))
+            .filter(F.col("n") >= min_docs).select("host_key", "key"))
 
 
-def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS, min_share: float = MIN_LINE_SHARE,
+def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS,
           min_left: float = MIN_LEFT_SHARE) -> DataFrame:
     """Metrics and verdict of every document row.
 
@@ -130,7 +130,7 @@ def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS,
     empty table gives an empty one.
     """
     lines = spread(host_lines(docs, host), "host-lines")
-    common = spread(common_lines(lines, min_docs, min_share), "host-common-lines")
+    common = spread(common_lines(lines, min_docs), "host-common-lines")
     removed = spread(lines.join(common, ["host_key", "key"], "left_semi")
                      .groupBy("text_in_host").agg(F.sum("words").cast("bigint").alias("removed_words")), "host-removed")
     rows = _keyed(docs, host).mapInArrow(_measure, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
@@ -145,7 +145,7 @@ def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS,
 
 
 def strip_common_lines(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """text_in_host, kept_text of each distinct text that loses lines: its text without the lines above the limits."""
+    """text_in_host, kept_text of each distinct text that loses lines: its text without the lines above the limit."""
     lines = spread(host_lines(docs, host), "host-lines")
     common = spread(common_lines(lines, **limits), "host-common-lines")
     drops = (lines.join(common, ["host_key", "key"], "left_semi")
