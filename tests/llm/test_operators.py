@@ -406,6 +406,21 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert {r.text for r in style_tree.extract(same).collect()} == {"one text"}
 
 
+def test_style_tree_keeps_what_copies_repeat(spark):
+    rng = random.Random(17)
+    text = [" ".join(words(rng, 30)) for _ in range(3)]
+    inner = "".join(f"<p>{t}</p>" for t in text)
+    pages = {"copies.org": f"<body><div class=wrap><div class=text>{inner}</div></div>",   # no article
+             "inner.org": f"<body><article><div class=body>{inner}</div></article>",
+             "parts.org": "<body><article>" + "".join(f"<section class=c><p>{t}</p></section>" for t in text) + "</article>",
+             # nearly all copies: each page has another small line
+             "near.org": f"<body><div class=stamp>{{}}</div><div class=wrap><div class=text>{inner}</div></div>",
+             "near-inner.org": f"<body><article><p>{{}}</p><div class=body>{inner}</div></article>"}
+    rows = [(k, f"http://{h}/{k}", p.replace("{}", f"seen {k} times")) for h, p in pages.items() for k in range(12)]
+    out = style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == len(rows) and all("\n".join(text) in r.text for r in out)
+
+
 # --- 9 ---
 
 def test_licenses(spark, odd, empty):

@@ -1,6 +1,7 @@
 """HTML extraction with a site style tree.
 
 All pages of a host are merged: a node of the tree is a path of elements (tag, classes and id without digits).
+Pages that are equal outside noise count as one, so that copies don't make their text common.
 Spark counts, per host and node, the pages that have it, the styles (sequences of child elements) it takes, and the
 text blocks below it.  Its importance combines presentation and content, after the published style tree: with m pages,
 l styles and g = 0.9,
@@ -10,7 +11,8 @@ l styles and g = 0.9,
     importance    (1 - g^l) * presentation + g^l * content
 
 Branches of low importance (the same on most pages) are removed from each page, besides those that the markup itself
-names as menus, headers, footers, sidebars, notices, adverts, forms or comments.  Where a page marks its article, text
+names as menus, headers, footers, sidebars, notices, adverts, forms or comments.  A low branch that holds most of the
+page's text is kept whole: there the host repeats the text itself.  Where a page marks its article, text
 flow inside the article (paragraphs, headings, lists) is never removed as low, so that copied articles keep their text.
 
 Counting is by partial aggregation of hashes; no page, host or node is gathered into one task.
@@ -23,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -196,55 +199,88 @@ class Page:
             return found if 2 * len(found) >= len(whole) else whole
         return found
 
+    def _sizes(self) -> list[int]:
+        """Characters of text outside noise in and below each element."""
+        sizes = [0] * len(self.tag)
+        for block in self.blocks:
+            for k, t in block:
+                if not self.noise[k]:
+                    sizes[k] += len(t.strip())
+        for k in range(len(sizes) - 1, 0, -1):
+            sizes[self.parent[k]] += sizes[k]
+        return sizes
+
     def _blocks_of(self, main: set[int], low: set[int]) -> str:
         out = []
-        state: dict[int, tuple[bool, bool]] = {0: (not main, False)}   # element -> (inside the article, removed)
+        # element -> (inside the article, removed, in a low branch with most of the text)
+        state: dict[int, tuple[bool, bool, bool]] = {0: (not main, False, False)}
+        sizes = self._sizes() if low else []
+        total = sum(sizes[k] for k in main if not any(x in main for x in self.chain(self.parent[k]))) if low and main else sizes[0] if low else 0
 
-        def look(node: int) -> tuple[bool, bool]:
+        def look(node: int) -> tuple[bool, bool, bool]:
             todo = []
             while node not in state:
                 todo.append(node)
                 node = self.parent[node]
             for k in reversed(todo):
-                inside, gone = state[self.parent[k]]
+                inside, gone, whole = state[self.parent[k]]
                 gone = gone or self.noise[k]
-                if not gone and k not in main and self.path[k] in low and self.tag[k] not in ("html", "body"):
-                    # Around the article nothing is read anyway; inside a marked one only containers can be low.
-                    gone = not main or inside and self.tag[k] not in FLOW
-                state[k] = (inside or k in main, gone)
+                inside = inside or k in main
+                if inside and not gone and not whole and self.path[k] in low:
+                    whole = 2 * sizes[k] > total
+                    # Inside a marked article only containers can be low.
+                    if not whole and k not in main and self.tag[k] not in ("html", "body"):
+                        gone = not main or self.tag[k] not in FLOW
+                state[k] = (inside, gone, whole)
             return state[todo[0]] if todo else state[node]
 
         for block in self.blocks:
-            words = "".join(t for k, t in block if look(k) == (True, False)).split()
+            words = "".join(t for k, t in block if look(k)[:2] == (True, False)).split()
             if words:
                 out.append(" ".join(words))
         return "\n".join(out)
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host_key, node, kind, value) once per page: kind 0 the node itself, 1 its styles, 2 the blocks below it."""
+    """(host_key, content, seen) of each page: what is seen outside noise as rows (node, kind, value), and its hash.
+
+    Kind 0 is the node itself, 1 its styles, 2 the blocks below it.
+    """
     for batch in batches:
-        hosts, nodes, kinds, values = [], [], [], []
-        for host, source in zip(batch.column("host_key").to_pylist(), batch.column("html").to_pylist(), strict=True):
+        contents, rows = [], []
+        for source in batch.column("html").to_pylist():
             page = Page(source)
-            seen = {(node, 0, 0) for node in page.path[1:]} | {(node, 1, style) for node, style in zip(page.path[1:], page.style[1:], strict=True)}
+            shown = [k for k in range(1, len(page.tag)) if not page.noise[k]]
+            seen = {(page.path[k], 0, 0) for k in shown} | {(page.path[k], 1, page.style[k]) for k in shown}
             for block in page.blocks:
+                node = block[-1][0]
+                if page.noise[node]:
+                    continue
                 words = " ".join("".join(t for _, t in block).split())
                 value = xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63)
-                for k in page.chain(block[-1][0]):
+                for k in page.chain(node):
                     seen.add((page.path[k], 2, value))
-            for node, kind, value in seen:
-                hosts.append(host)
-                nodes.append(node)
-                kinds.append(kind)
-                values.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(kinds, pa.int32()),
-                                          pa.array(values, pa.int64())], names=["host_key", "node", "kind", "value"])
+            raw = np.array(sorted(seen), dtype=np.int64).tobytes()
+            contents.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
+            rows.append(raw)
+        yield pa.RecordBatch.from_arrays([batch.column("host_key"), pa.array(contents, pa.int64()), pa.array(rows, pa.binary())],
+                                         names=["host_key", "content", "seen"])
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seen = [np.frombuffer(x, dtype=np.int64).reshape(-1, 3) for x in batch.column("seen").to_pylist()]
+        rows = np.concatenate([np.empty((0, 3), dtype=np.int64), *seen])
+        hosts = np.repeat(np.array(batch.column("host_key").to_pylist(), dtype=np.int64), [len(x) for x in seen])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].astype(np.int32)),
+                                          pa.array(rows[:, 2].copy())], names=["host_key", "node", "kind", "value"])
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """host_key, node, pages, importance of the merged tree's nodes (pages: host_key, html)."""
-    counts = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, node long, kind int, value long")
+    """host_key, node, pages, importance of the merged tree's nodes (pages: host_key, html); equal contents are one page."""
+    contents = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, content long, seen binary")
+                .groupBy("host_key", "content").agg(F.first("seen").alias("seen")))
+    counts = (contents.select("host_key", "seen").mapInArrow(_unpack, "host_key long, node long, kind int, value long")
               .groupBy("host_key", "node", "kind", "value").agg(F.count("*").alias("n")))
     ln = F.log("n")
     style, block = F.col("kind") == 1, F.col("kind") == 2
@@ -277,8 +313,8 @@ def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages:
 
     pages: page_id, url, html; other columns are not read.  A null or empty html gives an empty text; a null url belongs to
     the empty host.  Blocks are block-level elements; their white space is one space, blocks are joined by a newline in
-    page order.  Without article, main or a container marked as one, the body is read.  Repeated rows give a row each and
-    count as pages each.  An empty table gives an empty one.
+    page order.  Without article, main or a container marked as one, the body is read.  Repeated rows give a row each;
+    rows of a host that are equal outside noise count as one page.  An empty table gives an empty one.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host_key", F.xxhash64(host_of(F.col("url"))))
     tree = importance(rows)
