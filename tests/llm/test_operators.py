@@ -421,6 +421,19 @@ def test_style_tree_keeps_what_copies_repeat(spark):
     assert len(out) == len(rows) and all("\n".join(text) in r.text for r in out)
 
 
+def test_style_tree_weighs_articles_against_main():
+    rng = random.Random(18)
+    a, b = (" ".join(words(rng, 40)) for _ in range(2))
+    card = "<article><p>a teaser</p></article>"
+    text = lambda source: style_tree.Page(source).text(set())
+    assert text(f"<body><main><h1>T</h1><p>{a}</p><p>{b}</p></main><div>{card * 3}</div>") == f"T\n{a}\n{b}"
+    assert text(f"<body><main><h1>T</h1><p>{a}</p>{card}</main>") == f"T\n{a}\na teaser"
+    assert text(f"<body><main><h1>T</h1><article><p>{a}</p></article><p>more</p></main>") == f"T\n{a}"
+    assert text(f"<body><div><p>{a}</p></div>{card}") == f"{a}\na teaser"
+    assert text(f"<body><div class=post><p>{a}</p></div>{card}") == a
+    assert text(f"<body><article><p>{a}</p></article><article class=comment><p>{b}</p></article>") == a
+
+
 # --- 9 ---
 
 def test_licenses(spark, odd, empty):

@@ -48,6 +48,7 @@ _TAG = re.compile(
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp")}
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -65,6 +66,8 @@ NOISE_WORDS = frozenset(
     "breadcrumb breadcrumbs masthead footer sidebar aside widget cookie cookies consent gdpr notice notification alert popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments "
     "reply replies respond discussion disqus form search pagination pager toolbar skip".split())
+#: Those that make an article element a reader's comment; other noise words don't count there.
+COMMENT_WORDS = frozenset("comment comments reply replies respond discussion disqus".split())
 HEADER_WORDS = frozenset(("header", "topbar"))
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 MAIN_WORDS = frozenset("article story post entry articlebody postbody".split())
@@ -82,7 +85,8 @@ def element(name: str, attrs: str) -> tuple[int, bool, bool, int]:
     role = found.get("role", "").lower()
     plain = name in ("html", "body", "article", "main") or name[0] == "h" and name[1:].isdigit()
     noise = (name in NOISE_TAGS or role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-             or "display:none" in found.get("style", "").replace(" ", "").lower() or not plain and bool(words & NOISE_WORDS))
+             or "display:none" in found.get("style", "").replace(" ", "").lower() or not plain and bool(words & NOISE_WORDS)
+             or name == "article" and bool(words & COMMENT_WORDS))
     rank = 3 if name == "article" else 2 if name == "main" or role == "main" else 0
     if not rank and name in ("div", "section") and (words & MAIN_WORDS or found.get("itemprop", "").lower() == "articlebody"):
         rank = 1
@@ -182,22 +186,33 @@ class Page:
             node = self.parent[node]
         return out
 
-    def main_nodes(self) -> set[int]:
-        """The outermost elements of the best rank that the page has outside noise; empty if it marks none."""
-        best = max((r for r, bad in zip(self.rank, self.noise, strict=True) if not bad), default=0)
-        return {k for k, r in enumerate(self.rank) if r == best and not self.noise[k]} if best else set()
+    def ranked(self, rank: int) -> set[int]:
+        """The elements of that rank outside noise."""
+        return {k for k, r in enumerate(self.rank) if r == rank and not self.noise[k]}
 
     def text(self, low: set[int]) -> str:
         """The article: its blocks without noise and without branches of low importance.
 
-        Containers that only their class marks count if they hold at least half of what the body would give.
+        Articles count if they hold at least half of what the page's main elements would give, or its body if it has none;
+        the headings of a main before its first article belong to it.  Otherwise the main elements are read.  Without
+        those, containers that only their class marks count if they hold at least half of what the body would give.
         """
-        main = self.main_nodes()
-        found = self._blocks_of(main, low)
-        if main and all(self.rank[k] == 1 for k in main):
-            whole = self._blocks_of(set(), low)
+        articles, mains = self.ranked(3), self.ranked(2)
+        whole = self._blocks_of(mains, low)
+        if articles:
+            found = self._blocks_of(articles, low)
+            if 2 * len(found) >= len(whole):
+                first = min(articles)
+                titles = {k for k in range(first) if self.tag[k] in HEADINGS and not self.noise[k]
+                          and any(x in mains for x in self.chain(k))}
+                return self._blocks_of(articles | titles, low) if titles else found
+        if mains:
+            return whole
+        marked = self.ranked(1)
+        if marked:
+            found = self._blocks_of(marked, low)
             return found if 2 * len(found) >= len(whole) else whole
-        return found
+        return whole
 
     def _sizes(self) -> list[int]:
         """Characters of text outside noise in and below each element."""
@@ -313,7 +328,8 @@ def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages:
 
     pages: page_id, url, html; other columns are not read.  A null or empty html gives an empty text; a null url belongs to
     the empty host.  Blocks are block-level elements; their white space is one space, blocks are joined by a newline in
-    page order.  Without article, main or a container marked as one, the body is read.  Repeated rows give a row each;
+    page order.  Without article, main or a container marked as one, or where articles hold less than
+    half of the text, the main or body is read.  Repeated rows give a row each;
     rows of a host that are equal outside noise count as one page.  An empty table gives an empty one.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host_key", F.xxhash64(host_of(F.col("url"))))
