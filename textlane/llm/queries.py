@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlane.llm import (decontaminate, jaccard_join, licenses, line_dedup, mixing, quality_lines, sharding, style_tree,
-                          url_rules, warc)
+from textlane.llm import (decontaminate, divergence, filter_audit, jaccard_join, licenses, line_dedup, mixing, quality_lines,
+                          sharding, style_tree, url_rules, va_search, warc)
 
 #: (host, path, verdict) of the url rules.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -80,8 +80,24 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents: removals of every step of every order, by source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector with all others."""
+    return va_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of all sources from each other and from their language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_revisits, op2_jaccard_join, op3_line_frequency, op4_line_dedup, op5_url_rules, op6_mix,
-                                  op7_decontaminate, op8_style_tree, op9_licenses, op10_byte_shards)}
+                                  op7_decontaminate, op8_style_tree, op9_licenses, op10_byte_shards, op11_filter_audit,
+                                  op12_va_search, op13_divergence)}
 
 # --- SQL --------------------------------------------------------------------------------------------------------------
 
@@ -255,5 +271,65 @@ SELECT p.doc_id, p.dir || '/' || p.doc_id AS path, coalesce(own.license, given.l
 FROM p LEFT JOIN own USING (doc_id) LEFT JOIN given ON given.dir = p.top
 """
 
+_OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^{_WS}]+') AS ws FROM documents),
+least AS (SELECT text, min(doc_id) AS first_id FROM d GROUP BY text),
+good AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+             + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(first_id < d.doc_id, false)::INT AS bits, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d JOIN least USING (text) LEFT JOIN good USING (doc_id)),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l(x, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE a.b + b.b + c.b + d.b + e.b = 31
+        AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5),
+s AS (SELECT filter_order, step, l.b AS bit, (SELECT coalesce(sum(y.b), 0) FROM l y WHERE contains(substr(filter_order, 1, step::INT - 1), y.x)) AS before
+      FROM o, generate_series(1, 5) AS g(step), l WHERE l.x = substr(filter_order, step::INT, 1)),
+r AS (SELECT part, filter_order, step::INT AS step, bit,
+             coalesce(sum(n) FILTER (bits::INT & (before + bit)::INT = 0), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (bits::INT & bit <> 0 AND bits::INT & before::INT = 0), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (bits::INT & bit <> 0 AND bits::INT & before::INT <> 0), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (bits = bit), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (bits::INT & bit <> 0 AND bits::INT & before::INT = 0), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (bits::INT & bit <> 0 AND bits::INT & before::INT = 0), 0)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM r
+"""
+
+_OP12 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+QUALIFY rank <= 5
+"""
+
+_OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  {_ASCII_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+occ AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+tc AS (SELECT r, lang, source, term, count(*) AS n FROM occ GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS total FROM tc GROUP BY ALL HAVING count(*) >= {divergence.MIN_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+own AS (SELECT lang, source, term, sum(n)::BIGINT AS n FROM tc GROUP BY ALL),
+c AS (SELECT g.lang, g.source, k.term, k.total, coalesce(own.n, 0) AS n
+      FROM g JOIN kept k USING (lang) LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = k.term),
+s AS (SELECT *, sum(n) OVER w AS gn, count(*) OVER w AS v, sum(total) OVER w AS ln FROM c WINDOW w AS (PARTITION BY lang, source)),
+p AS (SELECT lang, source, term, n, (1 + (1000000000::HUGEINT * (n + 2)) // (gn + 2 * v))::BIGINT AS p,
+             (1 + (1000000000::HUGEINT * (total + 2)) // (ln + 2 * v))::BIGINT AS q FROM s),
+ab AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+       FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+          LEFT JOIN ab ON ab.lang = g.lang AND ab.source = g.source AND ab.item = h.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
 ORACLE = {"op9_licenses": _OP9, "op1_revisits": _OP1, "op3_line_frequency": _OP3, "op4_line_dedup": _OP4, "op5_url_rules": _OP5, "op6_mix": _OP6,
-          "op10_byte_shards": _OP10}
+          "op10_byte_shards": _OP10, "op11_filter_audit": _OP11, "op12_va_search": _OP12, "op13_divergence": _OP13}
