@@ -75,9 +75,9 @@ def copies_of_smaller(docs: DataFrame, keys: DataFrame | None = None) -> DataFra
     rows = _keyed(docs)
     shared = ((keys if keys is not None else rows).groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
               .filter(F.col("least") < F.col("most")).select("h"))
-    # Texts go to their hash once, whatever the number of shared hashes; a set of those is all that a task holds.
-    rows = spread(rows.join(shared.hint("shuffle_hash"), "h", "left_semi"), "texts-of-shared-hashes")
-    # Written, so that Spark can split the rows of a text with many copies in the join.
+    # Texts go to their hash once, whatever the number of shared hashes; a set of those is all that a task holds.  What both
+    # joins look up is written first: then Spark can split the rows of a text with many copies.
+    rows = spread(rows.join(spread(shared, "shared-hashes").hint("shuffle_hash"), "h", "left_semi"), "texts-of-shared-hashes")
     least = spread(rows.groupBy("h", "text").agg(F.min("doc_id").alias("least")), "least-ids")
     own, first = rows.alias("own"), least.alias("first")
     same = (F.col("own.h") == F.col("first.h")) & (F.col("own.text") == F.col("first.text"))
