@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textlane.functions.expr import tokens as token_expr
 from textlane.operators import features as feat, metrics as met, mllib, models, sampling, text, topics
+from textlane.operators.sparse_smote import smote_sparse
 from textlane.operators.text_chain import processed_text
 from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
                                     tfidf_features)
@@ -279,4 +280,14 @@ def g3_smote(spark, d):
                                           _r(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)).alias("vec_sum"))
 
 
+def g3_smote_sparse(spark, d):
+    """New points of the smaller quality class among the TF-IDF rows of the training split."""
+    x = tfidf_features(spark, d, materialize=True)[0]
+    train = quality_split(spark, d).filter(F.col("split") == "train")
+    points, entries = smote_sparse(x, train, k=5, seed=7, label="y")
+    sums = entries.groupBy("id").agg(F.count(F.lit(1)).alias("n_terms"), _r(F.sum("w")).alias("w_sum"))
+    return points.join(sums, "id").select(F.col("id").alias("new_id"), "src_id", "nn_id", _r("lam", 9).alias("lam"), "n_terms", "w_sum")
+
+
 QUERIES["g3_smote"] = g3_smote
+QUERIES["g3_smote_sparse"] = g3_smote_sparse

@@ -304,6 +304,7 @@ def build() -> dict[str, str]:
                        f"SELECT alpha AS best_alpha, mean_accuracy AS best_score FROM gm "
                        f"ORDER BY mean_accuracy DESC, list_position([{al}], alpha) LIMIT 1")
     q["g3_smote"] = smote_sql()
+    q["g3_smote_sparse"] = smote_sparse_sql()
     q["r1_stream_latest"] = "WITH " + last_value_sql() + "SELECT user_id, event_type, value FROM lastv"
     return q
 
@@ -338,6 +339,33 @@ def smote_sql(k: int = 5, seed: int = 7) -> str:
     )
 
 
+def smote_sparse_sql(k: int = 5, seed: int = 7) -> str:
+    """All products of the minority class's rows, then the same hashed choices."""
+    return with_(
+        *TOK, *TF, *FEAT, QUALITY_SPLIT,
+        "x AS (SELECT CAST(doc_id AS VARCHAR) AS id, y AS cls, term, w FROM feat JOIN sp USING (doc_id) WHERE split = 'train')",
+        "e AS (SELECT DISTINCT id, cls FROM x)",
+        "cnt AS (SELECT cls, count(*) AS n_c FROM e GROUP BY cls)",
+        "mino AS (SELECT cls, n_c, (SELECT max(n_c) FROM cnt) - n_c AS need FROM cnt WHERE n_c < (SELECT max(n_c) FROM cnt))",
+        "pts AS (SELECT e.* FROM e JOIN mino USING (cls))",
+        "dots AS (SELECT a.id, b.id AS nn_id, sum(a.w * b.w) AS dot FROM x a JOIN x b ON a.cls = b.cls AND a.term = b.term AND a.id <> b.id "
+        "JOIN mino ON mino.cls = a.cls GROUP BY a.id, b.id)",
+        "pairs AS (SELECT a.id, b.id AS nn_id, round(coalesce(dot, 0), 9) AS dot FROM pts a JOIN pts b ON a.cls = b.cls AND a.id <> b.id "
+        "LEFT JOIN dots ON dots.id = a.id AND dots.nn_id = b.id)",
+        f"nn AS (SELECT id, nn_id, nn_rank FROM (SELECT id, nn_id, row_number() OVER (PARTITION BY id ORDER BY dot DESC, nn_id) - 1 "
+        f"AS nn_rank FROM pairs) WHERE nn_rank < {k})",
+        "nnn AS (SELECT id, count(*) AS n_nn FROM nn GROUP BY id)",
+        f"sd AS (SELECT pts.id, mino.n_c, mino.need, row_number() OVER (PARTITION BY pts.cls ORDER BY {unit_hash('pts.id', seed)}, pts.id) - 1 "
+        "AS r FROM pts JOIN mino USING (cls))",
+        "jobs AS (SELECT id, unnest(range(0, CAST(need // n_c AS BIGINT) + CASE WHEN r < need % n_c THEN 1 ELSE 0 END)) AS j FROM sd)",
+        f"picked AS (SELECT jobs.id, j, nn_id, {unit_hash("jobs.id || '|' || CAST(j AS VARCHAR)", seed)} AS lam FROM jobs JOIN nnn USING (id) "
+        f"JOIN nn ON nn.id = jobs.id AND nn.nn_rank = ('0x' || substr(md5(jobs.id || '|' || CAST(j AS VARCHAR) || '|nn{seed}'), 1, 8))::BIGINT % n_nn)",
+        "made AS (SELECT id, j, nn_id, lam, term, sum(w) AS w FROM (SELECT p.*, term, w * (1 - lam) AS w FROM picked p JOIN x ON x.id = p.id "
+        "UNION ALL SELECT p.*, term, w * lam FROM picked p JOIN x ON x.id = p.nn_id) GROUP BY ALL)",
+    ) + ("SELECT id || '_s' || CAST(j AS VARCHAR) AS new_id, id AS src_id, nn_id, round(lam, 9) AS lam, count(*) AS n_terms, "
+         "round(sum(w), 6) AS w_sum FROM made WHERE w > 0 GROUP BY id, j, nn_id, lam")
+
+
 def nb_grid_sql(alphas=(1.0, 0.1, 0.01, 0.001, 0.0001), k: int = 5, seed: int = 37) -> str:
     al = ", ".join(repr(float(a)) for a in alphas)
     return (
