@@ -82,3 +82,24 @@ def test_macro_f1_evaluator_and_grid(spark):
     _, res = mllib.grid_search(lr, grid, train, "f1_macro", k=2, parallelism=2)
     assert [r[2] for r in res] == [1.0, 1.0]
     assert mllib.best_candidate(res)[0] == 0
+
+
+def test_sparse_vectors_from_rows_equal_the_vectorizer(spark):
+    from textlane.operators import mllib
+    docs = spark.createDataFrame([(1, ["b", "a", "b"]), (2, ["c"]), (3, ["ä", "a"])], "doc_id long, tokens array<string>")
+    tf = feat.term_counts(docs.select("doc_id", F.explode("tokens").alias("term")))
+    vocab = feat.with_idf(feat.vocabulary(tf), F.lit(3))
+    want = {r.doc_id: r.features for r in mllib.tfidf_vectorizer(vocab).transform(docs).collect()}
+    got = {r.doc_id: r.features for r in mllib.to_sparse_vectors(feat.tfidf(tf, vocab).select("doc_id", "term", "w"), "doc_id", vocab).collect()}
+    assert got.keys() == want.keys()
+    for k, v in got.items():
+        assert v.size == want[k].size and list(v.indices) == list(want[k].indices)
+        assert all(abs(a - b) < 1e-12 for a, b in zip(v.values, want[k].values))
+
+
+def test_counts_weigh_confusion_rows(spark):
+    from textlane.operators import metrics as met
+    rows = [("a", "a", 3), ("a", "b", 1), ("b", "b", 2), ("b", "c", 2)]
+    counted = spark.createDataFrame(rows, "y string, p string, n long")
+    plain = spark.createDataFrame([(y, p) for y, p, n in rows for _ in range(n)], "y string, p string")
+    assert met.f1_micro_macro(counted, n="n").first() == met.f1_micro_macro(plain).first()

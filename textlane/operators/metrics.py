@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def confusion_counts(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = ()) -> DataFrame:
-    return pred.groupBy(*by, F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+def confusion_counts(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = (), n: str | None = None) -> DataFrame:
+    """Counts per (y, p); ``n`` names a count that each row of ``pred`` stands for (1 without it)."""
+    count = F.count(F.lit(1)) if n is None else F.sum(n)
+    return pred.groupBy(*by, F.col(y).alias("y"), F.col(p).alias("p")).agg(count.alias("n"))
 
 
-def per_class(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = ()) -> DataFrame:
+def per_class(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = (), n: str | None = None) -> DataFrame:
     """``(*by, label, tp, support, n_pred, precision, recall, f1)``.
 
     Classes that are only true or only predicted stay (full outer join);
     undefined ratios are 0.
     """
-    cc = confusion_counts(pred, y, p, by)
+    cc = confusion_counts(pred, y, p, by, n)
     # each confusion cell feeds its true class (support, tp) and its predicted
     # class (n_pred): one explode and one aggregate, classes never seen on one
     # side keep zeros on that side
@@ -56,9 +58,9 @@ def weighted_prf(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...
         s.alias("n"))
 
 
-def f1_micro_macro(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = ()) -> DataFrame:
+def f1_micro_macro(pred: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = (), n: str | None = None) -> DataFrame:
     """Micro F1 (= accuracy for single-label data) and macro F1 over true and predicted classes."""
-    pc = per_class(pred, y, p, by)
+    pc = per_class(pred, y, p, by, n)
     return pc.groupBy(*by).agg(
         (F.sum("tp") / F.sum("support")).alias("f1_micro"),
         F.avg("f1").alias("f1_macro"))

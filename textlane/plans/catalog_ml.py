@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlane.functions.expr import tokens as token_expr
-from textlane.operators import features as feat, metrics as met, mllib, models, sampling, text, topics
+from textlane.operators import features as feat, metrics as met, mllib, models, sampling, sparse_tree, text, topics
 from textlane.operators.sparse_smote import smote_sparse
 from textlane.operators.text_chain import processed_text
 from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
@@ -14,26 +17,22 @@ from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_
 from textlane.session import materialize, table
 from textlane.sources import files
 
-# Trees look at every feature in every node; their vocabulary is bounded (README names it), linear models' is not.
-TREE_TERMS = 2000
+K_FOLDS = 5
 # The hyper-parameter grids searched with 5 stratified folds.
 NB_ALPHAS = [1.0, 0.1, 0.01, 0.001, 0.0001]
 LOGREG_GRID = {"C": [0.01, 1, 10], "penalty": ["l1", "l2"]}
-TREE_GRID = {"criterion": ["gini", "entropy"], "max_depth": [2, 3, 4, 5, 6, 7, 8, None],
-             "min_samples_leaf": [2, 3, 4, 7]}
-MAX_TREE_DEPTH = 30     # MLlib's deepest tree stands in for "no limit"
+TREE_GRID = {"criterion": ["gini", "entropy"], "splitter": ["best", "random"], "max_depth": [2, 3, 4, 5, 6, 7, 8, None],
+             "min_samples_leaf": [2, 3, 4, 7], "max_features": ["sqrt", "log2", None]}
+MAX_FOREST_DEPTH = 30     # MLlib's deepest tree stands in for "no limit"
 
 
-def _vector_frame(spark: SparkSession, d: str, split: DataFrame, max_features: int | None = None):
+def _vector_frame(spark: SparkSession, d: str, split: DataFrame):
     """``(doc_id, y, split, label_idx, features)`` and the label map for the rows of ``split``."""
     toks = text.remove_stopwords(text.tokenize(docs_by_id(spark, d, "text")))
     tf = feat.term_counts(text.explode_tokens(toks))
     n = feat.doc_count(docs(spark, d))
-    vocab = feat.vocabulary(tf)
-    if max_features is not None:
-        vocab = feat.bounded_vocabulary(vocab, n, 2, 0.95)
-    vocab = feat.with_idf(vocab, n)
-    vec = mllib.tfidf_vectorizer(mllib.select_vocabulary(vocab, max_features))
+    vocab = feat.with_idf(feat.vocabulary(tf), n)
+    vec = mllib.tfidf_vectorizer(vocab)
     lmap = feat.ordinal_label_map(split, "y")
     labelled = feat.encode_labels(split, "y", lmap, "label_idx").withColumn("label_idx", F.col("label_idx").cast("double"))
     frame = vec.transform(toks.join(labelled, "doc_id")).select("doc_id", "y", "split", "label_idx", "features")
@@ -75,10 +74,32 @@ def m4_logreg_variants(spark, d):
     return out.select("variant", "split", _r("accuracy").alias("accuracy"))
 
 
+def _tree_input(x: DataFrame, split: DataFrame, folds: DataFrame | None = None):
+    """Rows for the sparse trees and the label map: train rows train set 0, or with folds every set but their own fold's."""
+    lmap = feat.ordinal_label_map(split, "y")
+    rows = feat.encode_labels(split, "y", lmap, "y_idx").select("doc_id", F.col("y_idx").cast("int").alias("y"), "split")
+    if folds is None:
+        rows = rows.withColumn("train_of", F.when(F.col("split") == "train", F.array(F.lit(0)))).withColumn("score_of", F.array(F.lit(0)))
+    else:
+        every = F.sequence(F.lit(0), F.lit(K_FOLDS - 1))
+        rows = (rows.join(folds.select("doc_id", "fold"), "doc_id").withColumn("score_of", F.array("fold"))
+                .withColumn("train_of", F.array_except(every, F.col("score_of"))))
+    n_classes = lmap.count()
+    return materialize(sparse_tree.tree_rows(x, rows), "tree-rows"), lmap, n_classes
+
+
+def _tree_scores(x: DataFrame, split: DataFrame, variant: sparse_tree.Variant, n_terms: int, max_depth: int | None = None) -> DataFrame:
+    """``(doc_id, split, y, p, proba array in label order)`` of one tree fitted on the train rows."""
+    rows, lmap, n_classes = _tree_input(x, split)
+    model = sparse_tree.fit_trees(rows, [variant], n_classes, n_terms, max_depth=max_depth)
+    pred = sparse_tree.predict_trees(model, rows).select(F.col("id").alias("doc_id"), F.col("p").alias("p_idx"), "proba")
+    return _decoded(pred, lmap).join(split, "doc_id").select("doc_id", "split", "y", "p", "proba")
+
+
 def m5_tree(spark, d):
-    frame, lmap = _vector_frame(spark, d, lang_split(spark, d), TREE_TERMS)
-    pred = _fit_predict(materialize(frame, "tree-rows"), lmap, mllib.decision_tree(max_depth=MAX_TREE_DEPTH, min_instances=2))
-    return pred.select("doc_id", "split", "y", "p")
+    """Decision tree on the whole vocabulary, grown until its leaves are pure."""
+    x, vocab, _, _ = tfidf_features(spark, d, materialize=True)
+    return _tree_scores(x, lang_split(spark, d), sparse_tree.Variant(), vocab.count()).select("doc_id", "split", "y", "p")
 
 
 def _embedding_split(spark, d):
@@ -91,7 +112,7 @@ def m6_forest(spark, d):
     lmap = feat.ordinal_label_map(sp, "y")
     frame = feat.encode_labels(sp, "y", lmap, "label_idx").withColumn("label_idx", F.col("label_idx").cast("double"))
     frame = materialize(files.to_vectors(frame, "embedding"), "forest-rows")
-    forest = mllib.random_forest(num_trees=100, seed=37, max_depth=MAX_TREE_DEPTH)
+    forest = mllib.random_forest(num_trees=100, seed=37, max_depth=MAX_FOREST_DEPTH)
     model = mllib.fit(forest, frame.filter(F.col("split") == "train"))
     pred = _decoded(mllib.predictions(model, frame, ("vec_id", "split", "y")), lmap)
     return pred.select("vec_id", "split", "y", "p")
@@ -111,52 +132,110 @@ def l4_logreg_embeddings(spark, d):
     return pred.agg(_r(F.avg((F.col("prediction") == F.col("label_idx")).cast("double"))).alias("accuracy"))
 
 
+def _long_proba(pred: DataFrame, lmap: DataFrame) -> DataFrame:
+    """``(split, y, label, prob)`` from arrays of probabilities in label order."""
+    proba = pred.select("split", "y", F.posexplode("proba").alias("p_idx", "prob"))
+    return feat.decode_labels(proba, "p_idx", lmap, "label").select("split", "y", "label", "prob")
+
+
+def _nb_scores(x, split, v, alpha: float = 1.0):
+    """Naive Bayes fitted on the train rows: predictions and long probabilities of all rows."""
+    nb = models.fit_naive_bayes(x, split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v, alpha)
+    pred = materialize(models.predict_naive_bayes(x, split.select("doc_id"), nb).join(split, "doc_id"), "nb-pred")
+    proba = pred.select("split", "y", F.explode("proba").alias("_e")).select("split", "y", "_e.label", "_e.prob")
+    return pred.select("split", "y", "p"), proba
+
+
+def _smote_frame(x, vocab, split, frame, lmap):
+    """Resampled training vectors and the test rows: ``(doc_id, split, y, label_idx, features)``."""
+    train = split.filter(F.col("split") == "train")
+    points, entries = smote_sparse(x, train, k=5, seed=7, label="y")
+    made = mllib.to_sparse_vectors(entries, "id", vocab).join(points.select("id", "label"), "id")
+    made = feat.encode_labels(made.select(F.col("id").alias("doc_id"), F.lit("train_resampled").alias("split"),
+                                          F.col("label").alias("y"), "features"), "y", lmap, "label_idx")
+    own = frame.select(F.col("doc_id").cast("string").alias("doc_id"), F.when(F.col("split") == "train", "train_resampled").otherwise(
+        F.col("split")).alias("split"), "y", "label_idx", "features")
+    return materialize(own.unionByName(made.select("doc_id", "split", "y", F.col("label_idx").cast("double").alias("label_idx"), "features")),
+                       "resampled-rows")
+
+
+def _smote_grid_scores(x, vocab, split, frame, lmap):
+    """Balanced logistic regression, best of the grid on the resampled rows, scored on them and on the test rows."""
+    rows = _smote_frame(x, vocab, split, frame, lmap)
+    train = rows.filter(F.col("split") == "train_resampled")
+    folds = sampling.stratified_folds(train.select("doc_id", "y"), "doc_id", "y", K_FOLDS, 37)
+    train = materialize(sampling.with_class_weight(train.join(folds.select("doc_id", "fold"), "doc_id"), "label_idx", "weight"), "cv-train")
+    n = train.count()
+    lr = mllib.logistic_regression(n, weight_col="weight", multiclass="multinomial")
+    model, _ = mllib.grid_search(lr, _logreg_grid(lr, n), train, "f1_micro", parallelism=4)
+    return _decoded(mllib.predictions(model, rows, ("doc_id", "split", "y")), lmap)
+
+
 def l2_model_table(spark, d):
-    """NB, logistic regression and a tree on one split: one long metric table."""
-    sp = quality_split(spark, d)
+    """Six models on one split: AUC, accuracy, precision, recall and F1 of each, on training and test rows.
+
+    Naive Bayes and its alpha grid, logistic regression, balanced logistic-regression grid on SMOTE-resampled training
+    rows (its split is called train_resampled), decision tree and its grid; all on one TF-IDF table of all terms.
+    """
+    sp = materialize(quality_split(spark, d), "quality-split")
+    x, vocab, _, v = tfidf_features(spark, d, materialize=True)
+    n_terms = vocab.count()
     frame, lmap = _vector_frame(spark, d, sp)
     frame = materialize(frame, "logreg-rows")
-    n_train = frame.filter(F.col("split") == "train").count()
-    x, _, _, v = tfidf_features(spark, d, materialize=True)
-    nb = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
-    nb_pred = models.predict_naive_bayes(x, sp.select("doc_id"), nb, digits=PROBA_DIGITS).join(sp, "doc_id")
-    tables = [met.train_test_table(nb_pred.select("split", "y", "p")).withColumn("model", F.lit("MultinomialNB"))]
-    for name, est in [("LogisticRegression", mllib.logistic_regression(n_train, multiclass="ovr")),
-                      ("DecisionTreeClassifier", mllib.decision_tree(max_depth=MAX_TREE_DEPTH, min_instances=2))]:
-        rows, labels = (frame, lmap) if name == "LogisticRegression" else _vector_frame(spark, d, sp, TREE_TERMS)
-        pred = _fit_predict(rows, labels, est)
-        tables.append(met.train_test_table(pred).withColumn("model", F.lit(name)))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
+    train = frame.filter(F.col("split") == "train")
+
+    def vector_scores(pred):
+        pred = materialize(pred.select("split", "y", "p", "proba"), "model-pred")
+        return pred.drop("proba"), _long_proba(pred, lmap)
+
+    alpha = _nb_best(_nb_grid_means(x, sp, v)).first()["best_alpha"]
+    log_reg = mllib.logistic_regression(train.count(), C=1.0, multiclass="ovr").fit(train)
+    setting, depth = _tree_setting(*_tree_grid_best(_tree_grid_scores(x, sp, n_terms)), n_terms)
+    scored = {
+        "MultinomialNB": _nb_scores(x, sp, v),
+        "MultinomialNBCV": _nb_scores(x, sp, v, alpha),
+        "LogisticRegression": vector_scores(_decoded(mllib.ovr_probabilities(log_reg, frame), lmap)),
+        "LogisticRegressionCVSmote": vector_scores(_smote_grid_scores(x, vocab, sp, frame, lmap)),
+        "DecisionTreeClassifier": vector_scores(_tree_scores(x, sp, sparse_tree.Variant(), n_terms)),
+        "DecisionTreeClassifierCV": vector_scores(_tree_scores(x, sp, setting, n_terms, depth)),
+    }
+    out = None
+    for name, (pred, proba) in scored.items():
+        rows = met.train_test_table(pred, proba).withColumn("model", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
     return out.select("model", "metric", "split", _r("value").alias("value"))
 
 
-def _nb_grid_means(spark, d):
-    x, _, _, v = tfidf_features(spark, d, materialize=True)
-    train = lang_split(spark, d).filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label"))
-    folds = sampling.stratified_folds(train, "doc_id", "label", 5, 37)
-    per_fold = models.naive_bayes_grid(x, train, folds, v, NB_ALPHAS, 5)
+def _nb_grid_means(x, split, v):
+    train = split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label"))
+    folds = sampling.stratified_folds(train, "doc_id", "label", K_FOLDS, 37)
+    per_fold = models.naive_bayes_grid(x, train, folds, v, NB_ALPHAS, K_FOLDS)
     return per_fold.groupBy("alpha").agg(_r(F.avg("accuracy")).alias("mean_accuracy"))
 
 
+def _nb_best(means: DataFrame) -> DataFrame:
+    candidate = F.array_position(F.array(*[F.lit(a) for a in NB_ALPHAS]), F.col("alpha"))
+    best = means.orderBy(F.desc("mean_accuracy"), candidate).limit(1)
+    return best.select(F.col("alpha").alias("best_alpha"), F.col("mean_accuracy").alias("best_score"))
+
+
 def m7_nb_grid(spark, d):
     """NB alpha grid with 5 stratified folds on the training rows; mean accuracy per alpha."""
-    return _nb_grid_means(spark, d).select("alpha", "mean_accuracy")
+    x, _, _, v = tfidf_features(spark, d, materialize=True)
+    return _nb_grid_means(x, lang_split(spark, d), v).select("alpha", "mean_accuracy")
 
 
 def m8_nb_best(spark, d):
     """Best score and best alpha of the NB grid; the earlier candidate wins a tie."""
-    candidate = F.array_position(F.array(*[F.lit(a) for a in NB_ALPHAS]), F.col("alpha"))
-    best = _nb_grid_means(spark, d).orderBy(F.desc("mean_accuracy"), candidate).limit(1)
-    return best.select(F.col("alpha").alias("best_alpha"), F.col("mean_accuracy").alias("best_score"))
+    x, _, _, v = tfidf_features(spark, d, materialize=True)
+    return _nb_best(_nb_grid_means(x, lang_split(spark, d), v))
 
 
-def _cv_train(spark, d, max_features: int | None = None):
+def _cv_train(spark, d):
     """Training rows as vectors with 5 stratified folds and balanced class weights."""
-    frame, _ = _vector_frame(spark, d, lang_split(spark, d), max_features)
+    frame, _ = _vector_frame(spark, d, lang_split(spark, d))
     train = frame.filter(F.col("split") == "train")
-    folds = sampling.stratified_folds(train.select("doc_id", "y"), "doc_id", "y", 5, 37)
+    folds = sampling.stratified_folds(train.select("doc_id", "y"), "doc_id", "y", K_FOLDS, 37)
     train = sampling.with_class_weight(train.join(folds.select("doc_id", "fold"), "doc_id"), "label_idx", "weight")
     return materialize(train, "cv-train")
 
@@ -167,31 +246,59 @@ def _grid_frame(spark, names: list[str], types: str, rows: list, score: str):
     return spark.createDataFrame(data, f"candidate int, {types}, {score} double, is_best boolean")
 
 
+def _logreg_grid(lr, n: int) -> list:
+    return [{lr.regParam: 1.0 / (c * n), lr.elasticNetParam: 1.0 if pen == "l1" else 0.0}
+            for c, pen in product(LOGREG_GRID["C"], LOGREG_GRID["penalty"])]
+
+
 def m7_logreg_grid(spark, d):
     """Balanced logistic regression, grid C x penalty, 5 folds, scored by f1_micro (accuracy)."""
-    from itertools import product
     train = _cv_train(spark, d)
     n = train.count()
     lr = mllib.logistic_regression(n, weight_col="weight", multiclass="multinomial")
-    combos = list(product(LOGREG_GRID["C"], LOGREG_GRID["penalty"]))
-    grid = [{lr.regParam: 1.0 / (c * n), lr.elasticNetParam: 1.0 if pen == "l1" else 0.0} for c, pen in combos]
-    _, rows = mllib.grid_search(lr, grid, train, "f1_micro", parallelism=4)
+    _, rows = mllib.grid_search(lr, _logreg_grid(lr, n), train, "f1_micro", parallelism=4)
     return _grid_frame(spark, ["C", "penalty"], "C double, penalty string",
-                       [(i, (float(c), pen), m) for (i, _, m), (c, pen) in zip(rows, combos)], "mean_f1_micro")
+                       [(i, (float(c), pen), m) for (i, _, m), (c, pen) in zip(rows, product(LOGREG_GRID["C"], LOGREG_GRID["penalty"]))],
+                       "mean_f1_micro")
+
+
+def _tree_candidates() -> list[tuple]:
+    """(criterion, splitter, max_depth, min_samples_leaf, max_features) in the order of the grid."""
+    return list(product(*TREE_GRID.values()))
+
+
+def _tree_setting(criterion: str, splitter: str, max_depth: int | None, leaf: int, max_features: str | None, n_terms: int):
+    """The variant of a candidate and its depth; sqrt and log2 are shares of all terms, 1 at least."""
+    drawn = {"sqrt": math.sqrt, "log2": math.log2}.get(max_features)
+    return sparse_tree.Variant(criterion, leaf, splitter, max(1, int(drawn(max(n_terms, 1)))) if drawn else None), max_depth
+
+
+def _tree_grid_scores(x: DataFrame, split: DataFrame, n_terms: int) -> list[tuple]:
+    """``(candidate, parameters, mean macro F1)`` of all candidates, from one growth per fold and setting without depth."""
+    train = split.filter(F.col("split") == "train")
+    folds = sampling.stratified_folds(train.select("doc_id", "y"), "doc_id", "y", K_FOLDS, 37)
+    rows, _, n_classes = _tree_input(x, train, folds)
+    settings = [_tree_setting(*c, n_terms) for c in _tree_candidates()]
+    variants = list(dict.fromkeys(v for v, _ in settings))
+    model = sparse_tree.fit_trees(rows, variants, n_classes, n_terms, sets=list(range(K_FOLDS)))
+    counts = sparse_tree.tree_confusions(model, rows, TREE_GRID["max_depth"])
+    f1 = met.f1_micro_macro(counts, by=("set", "variant", "depth"), n="n").groupBy("variant", "depth").agg(
+        (F.sum("f1_macro") / K_FOLDS).alias("mean"))
+    means = {(r["variant"], r["depth"]): r["mean"] for r in f1.collect()}     # one row per candidate
+    return [(i, c, means.get((variants.index(v), -1 if depth is None else depth), 0.0))
+            for i, (c, (v, depth)) in enumerate(zip(_tree_candidates(), settings))]
+
+
+def _tree_grid_best(rows: list[tuple]) -> tuple:
+    return mllib.best_candidate([(i, c, round(m, 6)) for i, c, m in rows])[1]
 
 
 def m7_tree_grid(spark, d):
-    """Decision tree, grid criterion x max_depth x min_samples_leaf, 5 folds, scored by f1_macro."""
-    from itertools import product
-    train = _cv_train(spark, d, TREE_TERMS)
-    tree = mllib.decision_tree()
-    combos = list(product(TREE_GRID["criterion"], TREE_GRID["max_depth"], TREE_GRID["min_samples_leaf"]))
-    grid = [{tree.impurity: c, tree.maxDepth: md if md is not None else MAX_TREE_DEPTH, tree.minInstancesPerNode: leaf}
-            for c, md, leaf in combos]
-    _, rows = mllib.grid_search(tree, grid, train, "f1_macro", parallelism=8)
-    return _grid_frame(spark, ["criterion", "max_depth", "min_samples_leaf"],
-                       "criterion string, max_depth int, min_samples_leaf int",
-                       [(i, c, m) for (i, _, m), c in zip(rows, combos)], "mean_f1_macro")
+    """Decision tree, all 384 legal candidates of the grid, 5 folds, whole vocabulary, scored by f1_macro."""
+    x, vocab, _, _ = tfidf_features(spark, d, materialize=True)
+    rows = _tree_grid_scores(x, lang_split(spark, d), vocab.count())
+    return _grid_frame(spark, list(TREE_GRID), "criterion string, splitter string, max_depth int, min_samples_leaf int, max_features string",
+                       [(i, c, round(m, 6)) for i, c, m in rows], "mean_f1_macro")
 
 
 def logreg_scores(spark, d) -> DataFrame:
@@ -208,9 +315,7 @@ def l1_pipeline_logreg(spark, d):
     """Main flow with logistic regression: AUC, accuracy, precision, recall and F1 of both splits."""
     pred = materialize(logreg_scores(spark, d), "logreg-pred")
     lmap = feat.ordinal_label_map(lang_split(spark, d), "y")
-    proba = pred.select("split", "y", F.posexplode("proba").alias("p_idx", "prob"))
-    proba = feat.decode_labels(proba, "p_idx", lmap, "label").select("split", "y", "label", "prob")
-    table_ = met.train_test_table(pred.drop("proba"), proba)
+    table_ = met.train_test_table(pred.drop("proba"), _long_proba(pred, lmap))
     return table_.select("metric", "split", _r("value").alias("value"))
 
 
