@@ -196,6 +196,28 @@ def test_line_dedup(spark, odd, empty):
 
 # --- 5 ---
 
+def test_line_frequency_equals_its_sql_on_a_large_host(spark):
+    """One host of 2,000 texts: a line in 12 of them is above the limit whatever the host's size."""
+    import duckdb
+
+    from textlane.llm.queries import ORACLE
+    rng = random.Random(12)
+    rows = []
+    for k in range(2000):
+        body = "\n".join(" ".join(f"v{rng.randrange(5000)}" for _ in range(12)) for _ in range(3))
+        shared = ["all of these words stand on a line that twelve texts of this host have in common " * 5] if k < 12 else []
+        shared += ["nine texts have this"] if k < 9 else []
+        rows.append((k, "\n".join([body, *shared]), "en", "host", 1))
+    df = spark.createDataFrame(rows, DOC)
+    got = {tuple(r[c] for c in sorted(r.asDict())) for r in quality_lines.judge(df).drop("text_in_host").collect()}
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    cur = con.execute(ORACLE["op3_line_frequency"])
+    at = sorted(range(len(cur.description)), key=lambda i: cur.description[i][0])
+    assert got == {tuple(r[i] for i in at) for r in cur.fetchall()}
+    assert sum(r.removed_words > 0 for r in quality_lines.judge(df).collect()) == 12
+
+
 def test_url_rules(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/es/ok", "allow"), ("com", "/de/", "block"),
              ("com", "/de/", "block"), ("x.com", "/", "allow"), (None, "/", "block")]
@@ -216,6 +238,13 @@ def test_url_rules(spark):
         got = sorted((str(x.page_id), x.host, x.path, str(x.rule), x.verdict) for x in url_rules.judge_urls(pages, r).collect())
         assert got == sorted((str(k), *(str(y) if i == 2 else y for i, y in enumerate(expect(u)))) for k, u in rows)
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # characters of the host that look like the parts of a key
+    odd_pages = spark.createDataFrame([(1, "http://org\x01example/es/x"), (2, "http://example.org\x02/es/x"), (3, "http://org?example#/es/x"),
+                                       (4, "http://a.example.org/es/x")], "page_id long, url string")
+    odd_rules = spark.createDataFrame([("example.org", "/es/", "block"), ("org?example", "/", "block"), ("org#", "", "block")],
+                                      "host string, path string, verdict string")
+    assert {x.page_id: x.verdict for x in url_rules.judge_urls(odd_pages, odd_rules).collect()} == {
+        1: "allow", 2: "allow", 3: "allow", 4: "block"}
     assert url_rules.judge_urls(pages.limit(0), r).count() == 0
     assert {x.verdict for x in url_rules.judge_urls(pages, r.limit(0)).collect()} == {"allow"}
 

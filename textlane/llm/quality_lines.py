@@ -28,8 +28,6 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 #: A line is removed if at least so many of its host's distinct texts have it.
 MIN_LINE_DOCS = 10
-#: Read by the SQL only, which asks for this share of the host's texts too (it binds on hosts of more than 1,000 texts).
-MIN_LINE_SHARE = 0.01
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT_SHARE = 0.3
 

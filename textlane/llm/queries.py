@@ -141,9 +141,7 @@ win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (
           SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM w)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + d) AS n_repeat_words FROM rep, generate_series(0, 7) AS s(d) GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT text) AS n FROM keyed WHERE k <> '' GROUP BY source),
-bad AS (SELECT source, k FROM (SELECT source, k, count(DISTINCT text) AS c FROM keyed WHERE k <> '' GROUP BY ALL)
-        JOIN hosts USING (source) WHERE c >= {quality_lines.MIN_LINE_DOCS} AND c >= {quality_lines.MIN_LINE_SHARE} * n),
+bad AS (SELECT source, k FROM keyed WHERE k <> '' GROUP BY ALL HAVING count(DISTINCT text) >= {quality_lines.MIN_LINE_DOCS}),
 gone AS (SELECT doc_id, sum(len(regexp_extract_all(k, '[^{_WS}]+'))) AS removed FROM keyed
          JOIN bad USING (source, k) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,

@@ -1,7 +1,7 @@
 """URL filters as a sort-merge range join.
 
 Keys reverse the host's labels, so a rule (host, path prefix) is one interval
-of keys, all that begin with ``org example /es/`` (control characters between the parts).  A url has a
+of keys, all that begin with ``org?example#/es/`` (neither host nor path can hold ``?`` or ``#``).  A url has a
 key for its host and each parent domain (as many as the host has labels), so
 that rules of a domain also fit its subdomains.
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from textlane.llm.common import LOWER, UPPER, spread
 
 DEFAULT_VERDICT = "allow"
-#: Between labels and after the last one; hosts don't hold control characters.
-LABEL, END = "\u0001", "\u0002"
+#: Between labels and after the last one: the characters that end a url's host and path, so that neither can hold them.
+LABEL, END = "?", "#"
 
 
 def _after_scheme(url: Column) -> Column:
@@ -79,7 +79,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
     read.  A rule fits its host and all subdomains if the url's path begins
     with the rule's path.  The longest fitting rule (host + path) wins, among
     equally long ones the one with the longer host; of repeated rules with
-    different verdicts the least verdict in code point order.  No fitting rule:
+    different verdicts the least verdict in code point order.  A rule whose host
+    holds ``/``, ``?`` or ``#`` fits no url.  No fitting rule:
     rule null, verdict ``default``.  A null url or one without ``://`` has an
     empty host and path.  Rules with a null part are ignored; an empty rule
     table gives every page the default; repeated rows give a row each; an empty
@@ -98,6 +99,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
     keys = spread(keys.repartitionByRange(parts, "key", "row.page_id").withColumn("part", F.spark_partition_id()), "url-keys")
 
     clean = (rules.select(F.translate("host", UPPER, LOWER).alias("host"), F.col("path"), F.col("verdict")).dropna()
+             .filter(~F.col("host").rlike("[/?#]"))
              .groupBy("host", "path").agg(F.min("verdict").alias("verdict")))
     clean = clean.select(F.concat(F.array_join(reversed_labels(F.col("host")), LABEL), F.lit(END), "path").alias("key"),
                          F.concat("host", "path").alias("rule"), "verdict")
