@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlane.functions.expr import tokens as token_expr
-from textlane.operators import features as feat, metrics as met, mllib, models, sampling, sparse_tree, text, topics
+from textlane.operators import features as feat, metrics as met, mllib, models, sampling, sparse_tree, table_logreg, text, topics
 from textlane.operators.sparse_smote import smote_sparse
 from textlane.operators.text_chain import processed_text
 from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
@@ -50,12 +50,41 @@ def _fit_predict(frame: DataFrame, lmap: DataFrame, estimator) -> DataFrame:
     return _decoded(pred, lmap)
 
 
+def _ovr_scores(spark, d, split: DataFrame, features: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One-vs-rest logistic regression on the whole vocabulary: ``(doc_id, split, y, p, proba array in label order)``.
+
+    Up to ``MAX_VECTOR_TERMS`` terms the coefficients are vectors; beyond, a table, fitted and applied by joins.
+    """
+    x, vocab = features if features is not None else tfidf_features(spark, d, materialize=True)[:2]
+    if vocab.count() <= mllib.MAX_VECTOR_TERMS:
+        frame, lmap = _vector_frame(spark, d, split)
+        frame = materialize(frame, "logreg-rows")
+        train = frame.filter(F.col("split") == "train")
+        model = mllib.logistic_regression(train.count(), C=1.0, multiclass="ovr").fit(train)
+        scored = mllib.ovr_probabilities(model, frame)
+    else:
+        scored, lmap = _table_scores(x, split)
+    return _decoded(scored, lmap).select("doc_id", "split", "y", "p", "proba")
+
+
+def _table_scores(x: DataFrame, split: DataFrame):
+    """The same model with its coefficients as a table."""
+    lmap = feat.ordinal_label_map(split, "y")
+    rows = feat.encode_labels(split, "y", lmap, "label_idx")
+    train = rows.filter(F.col("split") == "train").select("doc_id", F.col("label_idx").cast("int").alias("y"))
+    model = table_logreg.fit_table_logreg(x, train, lmap.count(), C=1.0, tol=1e-4)
+    return table_logreg.table_logreg_probabilities(model, x, rows.select("doc_id", "split", "y")), lmap
+
+
 def m3_logreg(spark, d):
-    frame, lmap = _vector_frame(spark, d, quality_split(spark, d))
-    frame = materialize(frame, "logreg-rows")
-    n_train = frame.filter(F.col("split") == "train").count()
-    pred = _fit_predict(frame, lmap, mllib.logistic_regression(n_train, C=1.0, multiclass="ovr"))
-    return pred.select("doc_id", "split", "y", "p")
+    return _ovr_scores(spark, d, quality_split(spark, d)).select("doc_id", "split", "y", "p")
+
+
+def m3_logreg_table(spark, d):
+    """The model of m3_logreg fitted with its coefficients as a table, at any size of the vocabulary."""
+    split = quality_split(spark, d)
+    scored, lmap = _table_scores(tfidf_features(spark, d, materialize=True)[0], split)
+    return _decoded(scored, lmap).select("doc_id", "split", "y", "p", _r(F.element_at("proba", 2), 3).alias("p_good"))
 
 
 def m4_logreg_variants(spark, d):
@@ -182,19 +211,17 @@ def l2_model_table(spark, d):
     n_terms = vocab.count()
     frame, lmap = _vector_frame(spark, d, sp)
     frame = materialize(frame, "logreg-rows")
-    train = frame.filter(F.col("split") == "train")
 
     def vector_scores(pred):
         pred = materialize(pred.select("split", "y", "p", "proba"), "model-pred")
         return pred.drop("proba"), _long_proba(pred, lmap)
 
     alpha = _nb_best(_nb_grid_means(x, sp, v)).first()["best_alpha"]
-    log_reg = mllib.logistic_regression(train.count(), C=1.0, multiclass="ovr").fit(train)
     setting, depth = _tree_setting(*_tree_grid_best(_tree_grid_scores(x, sp, n_terms)), n_terms)
     scored = {
         "MultinomialNB": _nb_scores(x, sp, v),
         "MultinomialNBCV": _nb_scores(x, sp, v, alpha),
-        "LogisticRegression": vector_scores(_decoded(mllib.ovr_probabilities(log_reg, frame), lmap)),
+        "LogisticRegression": vector_scores(_ovr_scores(spark, d, sp, (x, vocab))),
         "LogisticRegressionCVSmote": vector_scores(_smote_grid_scores(x, vocab, sp, frame, lmap)),
         "DecisionTreeClassifier": vector_scores(_tree_scores(x, sp, sparse_tree.Variant(), n_terms)),
         "DecisionTreeClassifierCV": vector_scores(_tree_scores(x, sp, setting, n_terms, depth)),
@@ -302,13 +329,8 @@ def m7_tree_grid(spark, d):
 
 
 def logreg_scores(spark, d) -> DataFrame:
-    """One-vs-rest logistic regression on the whole vocabulary, scored on both splits:
-    ``(doc_id, split, y, p, proba array<double> in label order)``."""
-    frame, lmap = _vector_frame(spark, d, lang_split(spark, d))
-    frame = materialize(frame, "logreg-rows")
-    train = frame.filter(F.col("split") == "train")
-    model = mllib.logistic_regression(train.count(), C=1.0, multiclass="ovr").fit(train)
-    return _decoded(mllib.ovr_probabilities(model, frame), lmap).select("doc_id", "split", "y", "p", "proba")
+    """One-vs-rest scores of the language of every document, both splits."""
+    return _ovr_scores(spark, d, lang_split(spark, d))
 
 
 def l1_pipeline_logreg(spark, d):
@@ -356,6 +378,7 @@ def f13_feature_stage(spark, d, k: int = 4, iters: int = 200):
 
 QUERIES = {
     "m3_logreg": m3_logreg,
+    "m3_logreg_table": m3_logreg_table,
     "m4_logreg_variants": m4_logreg_variants,
     "m5_tree": m5_tree,
     "m6_forest": m6_forest,
