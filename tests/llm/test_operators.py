@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -450,6 +451,56 @@ def test_style_tree_keeps_what_copies_repeat(spark):
     assert len(out) == len(rows) and all("\n".join(text) in r.text for r in out)
 
 
+def test_odd_markup_takes_time_in_proportion():
+    """Deep, unclosed and broken markup: eight times the page may not take anything like 64 times as long."""
+    import time
+    shapes = ["<div>x ", "<a ", "> <a ", "<p><b>x", "<main>x", "<main><h1>t</h1>", "<script></script ", "<a '\">x", "<!-- ", "<", "<li><ul>x"]
+    ends = lambda n: "<b><div>" + "<i>" * n + "</b>" * n
+    for make in [*(lambda n, s=s: s * n for s in shapes), ends]:
+        took = []
+        for n in (4000, 32000):
+            begin = time.process_time()
+            page = style_tree.Page(make(n))
+            page.text(set())
+            page.text({page.path[-1]})
+            for block in page.blocks:
+                page.paths(block[-1][0])
+            took.append(time.process_time() - begin)
+        assert took[1] < 24 * max(took[0], 0.05)
+    deep = style_tree.Page("<div>x " * 20000)
+    assert deep.text(set()).count("x") == 20000 and len(deep.paths(len(deep.tag) - 1)) == style_tree.MAX_PATH
+    assert style_tree.Page("<p>a</p><!-- never closed <p>b</p>").text(set()) == "a"
+    assert style_tree.Page("a > b <i").text(set()) == "a > b <i" and style_tree.Page("a <![CDATA[ b <p>").text(set()) == "a"
+
+
+def test_importance_equals_entropies_worked_out_by_hand(spark):
+    """Presentation and content of every node of a small host, from the published formulas."""
+    rng = random.Random(21)
+    sources = []
+    for k in range(12):
+        middle = f"<div class=text><p>{' '.join(words(rng, 6))}</p>" + "<p>more</p>" * (k % 3) + "</div>"
+        sources.append(f"<body><div class=top><span>Site</span></div>{middle}<div class=end>{'same' if k < 9 else k}</div></body>")
+    want = {}
+    pages = [style_tree.Page(s) for s in sources]
+    for path in {p for page in pages for k, p in enumerate(page.path) if k}:
+        styles, blocks, m = Counter(), Counter(), 0
+        for page in pages:
+            mine = {k for k, p in enumerate(page.path) if k and p == path}
+            m += bool(mine)
+            styles.update({page.style[k] for k in mine})
+            below = page.within(mine)
+            blocks.update({" ".join("".join(t for _, t in b).split()) for b in page.blocks if below[b[-1][0]]})
+        uses = sum(styles.values())
+        looks = -sum(n / uses * math.log(n / uses) for n in styles.values()) / math.log(m)
+        says = 1 - (sum(math.log(n) for n in blocks.values()) / len(blocks) if blocks else 0) / math.log(m)
+        share = style_tree.GAMMA ** len(styles)
+        want[path] = (m, (1 - share) * looks + share * says)
+    df = spark.createDataFrame([(1, s) for s in sources], "host_key long, html string")
+    got = {r.node: (r.pages, r.importance) for r in style_tree.importance(df).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[p][0] == want[p][0] and abs(got[p][1] - want[p][1]) < 1e-9 for p in want)
+
+
 def test_style_tree_weighs_articles_against_main():
     rng = random.Random(18)
     a, b = (" ".join(words(rng, 40)) for _ in range(2))

@@ -75,9 +75,16 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 _TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.I)
+_UNCLOSED = re.compile(r"<!--|<!\[CDATA\[")
+#: Longer attributes are read each time they come.
+_KNOWN_ATTRS = 1000
 
 
 @lru_cache(maxsize=1 << 16)
+def _known_element(name: str, attrs: str) -> tuple[int, bool, bool, int]:
+    return element(name, attrs)
+
+
 def element(name: str, attrs: str) -> tuple[int, bool, bool, int]:
     """(hash of its key, noise anywhere, noise outside an article, rank) of an element by its name and attributes."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
@@ -106,6 +113,10 @@ class Page:
         self.parent, self.tag, self.path, self.style, self.noise, self.rank = [-1], [""], [0], [0], [False], [0]
         self.blocks: list[list[tuple[int, str]]] = []
         self._depth, self._open, self._parts, self._inside = [0], [0], [], [False]
+        # Places in the stack of open elements, by name and of those that are blocks; the deepest ancestor with a path of its own.
+        self._places: dict[str, list[int]] = {}
+        self._open_blocks, self._own_path = [0], [0]
+        self._last_paths: tuple[int, set[int]] = (0, set())
         self._parse(source or "")
 
     def _flush(self) -> None:
@@ -120,16 +131,16 @@ class Page:
 
     def _close(self, name: str, among: tuple[str, ...] | None = None) -> None:
         """Ends the innermost open element of that name (or among those); inline ends don't reach beyond their block."""
-        names, tag = among or (name,), self.tag
-        for k in range(len(self._open) - 1, 0, -1):
-            own = tag[self._open[k]]
-            if own in names:
-                if own in BLOCK or any(tag[x] in BLOCK for x in self._open[k:]):
-                    self._flush()
-                del self._open[k:]
-                return
-            if own in BLOCK and (among or name not in BLOCK):
-                return
+        k = max((self._places[x][-1] for x in among or (name,) if self._places.get(x)), default=0)
+        if not k or (among or name not in BLOCK) and k < self._open_blocks[-1]:
+            return
+        if self._open_blocks[-1] >= k:
+            self._flush()
+        for x in self._open[k:]:
+            self._places[self.tag[x]].pop()
+        while self._open_blocks[-1] >= k:
+            self._open_blocks.pop()
+        del self._open[k:]
 
     def _start(self, name: str, attrs: str) -> None:
         if name in BLOCK:
@@ -138,7 +149,8 @@ class Page:
         if name in SIBLINGS:
             self._close(name, SIBLINGS[name])
         up = self._open[-1]
-        key, noise, noise_outside, rank = element(name, attrs if attrs and _TELLING.search(attrs) else "")
+        attrs = attrs if attrs and _TELLING.search(attrs) else ""
+        key, noise, noise_outside, rank = (_known_element if len(attrs) <= _KNOWN_ATTRS else element)(name, attrs)
         self.style[up] = hash((self.style[up], key))
         if name in VOID:
             if name == "br":
@@ -154,19 +166,28 @@ class Page:
         self.rank.append(rank)
         self._depth.append(depth)
         self._inside.append(inside or rank >= 2)
+        self._own_path.append(self._own_path[up] if depth > MAX_PATH else len(self.tag) - 1)
+        self._places.setdefault(name, []).append(len(self._open))
+        if name in BLOCK:
+            self._open_blocks.append(len(self._open))
         self._open.append(len(self.tag) - 1)
 
     def _parse(self, source: str) -> None:
-        at, n = 0, len(source)
+        # Nothing behind the last ">" can end a tag, a comment or a raw text: no search goes further.
+        at, n, last = 0, len(source), source.rfind(">") + 1
         while at < n:
-            m = _TAG.search(source, at)
+            m = _TAG.search(source, at, last) if at < last else None
             if m is None:
-                self._text(source[at:])
+                end = _UNCLOSED.search(source, max(at, last - 8))
+                self._text(source[at:end.start() if end else n])
                 break
             self._text(source[at:m.start()])
             at = m.end()
             name = (m["name"] or m["name2"] or "").lower()
             if not name:
+                open_end = "-->" if m[0].startswith("<!--") else "]]>" if m[0].startswith("<![CDATA[") else ""
+                if not m[0].endswith(open_end):
+                    break       # never closed: the rest is not shown
                 continue
             if m["end"] or m["end2"]:
                 self._close(name)
@@ -174,16 +195,27 @@ class Page:
             attrs = m["attrs"] or m["attrs2"] or ""
             self._start(name, attrs)
             if name in _RAW_END and not attrs.endswith("/"):
-                end = _RAW_END[name].search(source, at)
+                end = _RAW_END[name].search(source, at, last)
                 at = end.end() if end else n   # raw text is never shown
                 self._close(name)
         self._flush()
 
-    def chain(self, node: int) -> list[int]:
-        out = []
-        while node > 0:
-            out.append(node)
-            node = self.parent[node]
+    def paths(self, node: int) -> set[int]:
+        """The paths of an element and all that it stands in."""
+        node = self._own_path[node]
+        if node != self._last_paths[0]:
+            out, k = set(), node
+            while k > 0:
+                out.add(self.path[k])
+                k = self.parent[k]
+            self._last_paths = node, out
+        return self._last_paths[1]
+
+    def within(self, nodes: set[int]) -> list[bool]:
+        """For each element whether it is one of the nodes or stands in one."""
+        out = [False]
+        for k in range(1, len(self.tag)):
+            out.append(k in nodes or out[self.parent[k]])
         return out
 
     def ranked(self, rank: int) -> set[int]:
@@ -203,8 +235,8 @@ class Page:
             found = self._blocks_of(articles, low)
             if 2 * len(found) >= len(whole):
                 first = min(articles)
-                titles = {k for k in range(first) if self.tag[k] in HEADINGS and not self.noise[k]
-                          and any(x in mains for x in self.chain(k))}
+                inside = self.within(mains)
+                titles = {k for k in range(first) if self.tag[k] in HEADINGS and not self.noise[k] and inside[k]}
                 return self._blocks_of(articles | titles, low) if titles else found
         if mains:
             return whole
@@ -230,7 +262,10 @@ class Page:
         # element -> (inside the article, removed, in a low branch with most of the text)
         state: dict[int, tuple[bool, bool, bool]] = {0: (not main, False, False)}
         sizes = self._sizes() if low else []
-        total = sum(sizes[k] for k in main if not any(x in main for x in self.chain(self.parent[k]))) if low and main else sizes[0] if low else 0
+        total = 0
+        if low:
+            inner = self.within(main)
+            total = sum(sizes[k] for k in main if not inner[self.parent[k]]) if main else sizes[0]
 
         def look(node: int) -> tuple[bool, bool, bool]:
             todo = []
@@ -273,8 +308,7 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 words = " ".join("".join(t for _, t in block).split())
                 value = xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63)
-                for k in page.chain(node):
-                    seen.add((page.path[k], 2, value))
+                seen.update((path, 2, value) for path in page.paths(node))
             raw = np.array(sorted(seen), dtype=np.int64).tobytes()
             contents.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
             rows.append(raw)
@@ -329,8 +363,9 @@ def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages:
     pages: page_id, url, html; other columns are not read.  A null or empty html gives an empty text; a null url belongs to
     the empty host.  Blocks are block-level elements; their white space is one space, blocks are joined by a newline in
     page order.  Without article, main or a container marked as one, or where articles hold less than
-    half of the text, the main or body is read.  Repeated rows give a row each;
-    rows of a host that are equal outside noise count as one page.  An empty table gives an empty one.
+    half of the text, the main or body is read.  Elements nested more than ``MAX_PATH`` deep count in the tree
+    as part of the element at that depth; their text is read like any other.  Time and memory follow the length of a page,
+    however deep or broken its markup is.  Repeated rows give a row each; rows of a host that are equal outside noise count as one page.  An empty table gives an empty one.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host_key", F.xxhash64(host_of(F.col("url"))))
     tree = importance(rows)
