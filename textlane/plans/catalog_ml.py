@@ -14,7 +14,8 @@ from textlane.operators.sparse_smote import smote_sparse
 from textlane.operators.text_chain import processed_text
 from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
                                     tfidf_features)
-from textlane.session import materialize, table
+from textlane.plans.stages import Stage, run_stages
+from textlane.session import fresh_path, materialize, table
 from textlane.sources import files
 
 K_FOLDS = 5
@@ -360,6 +361,44 @@ def l1_pipeline_nb(spark, d):
                                      _r("recall").alias("recall"), _r("f1").alias("f1"), "n")
 
 
+def nb_stages(alpha: float = 1.0, test_size: float = 0.2, seed: int = 37) -> list[Stage]:
+    """The main flow as stages: processed text, features, split, predictions, metrics (input: documents)."""
+    def processed(_, t):
+        n = int(t["documents"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return processed_text(t["documents"].select("doc_id", "text").repartition(n, "doc_id"))
+
+    def features(_, t):
+        long = text.explode_tokens(t["processed"].select("doc_id", token_expr(F.col("processed_text")).alias("tokens")))
+        tf = materialize(feat.term_counts(long), "tf")
+        return feat.tfidf(tf, feat.with_idf(feat.vocabulary(tf), feat.doc_count(t["processed"])))
+
+    def split(_, t):
+        return sampling.split_by_hash(t["documents"].select("doc_id", F.col("lang").alias("y")), "doc_id", test_size, seed)
+
+    def predictions(_, t):
+        x, sp = t["features"], t["split"]
+        v = int(x.select(F.countDistinct("term")).first()[0])
+        model = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v, alpha)
+        return models.predict_naive_bayes(x, sp.select("doc_id"), model).join(sp, "doc_id").select("doc_id", "split", "y", "p")
+
+    def metrics(_, t):
+        return met.accuracy(t["predictions"], by=("split",)).join(met.weighted_prf(t["predictions"], by=("split",)), "split")
+
+    return [Stage("processed", processed, ("documents",)), Stage("features", features, ("processed",)),
+            Stage("split", split, ("documents",), {"test_size": test_size, "seed": seed}),
+            Stage("predictions", predictions, ("features", "split"), {"alpha": alpha}), Stage("metrics", metrics, ("predictions",))]
+
+
+def l1_staged_nb(spark, d):
+    """The main flow in saved stages: the first run stops after the features, the second one goes on from what is saved."""
+    root, log = fresh_path(spark, "flow"), fresh_path(spark, "flow-log")
+    flow, inputs = nb_stages(), {"documents": docs(spark, d).select("doc_id", "text", "lang")}
+    run_stages(spark, root, flow[:2], inputs, run_log=log)
+    out = run_stages(spark, root, flow, inputs, start_from="split", run_log=log)["metrics"]
+    return out.select("split", _r("accuracy").alias("accuracy"), _r("precision").alias("precision"),
+                      _r("recall").alias("recall"), _r("f1").alias("f1"), "n")
+
+
 def f13_feature_stage(spark, d, k: int = 4, iters: int = 200):
     """Processed text -> bounded TF-IDF -> NMF fitted to its tolerance -> doc-topic table, dominant topic and its label."""
     pt = processed_text(docs_by_id(spark, d, "text"))
@@ -388,6 +427,7 @@ QUERIES = {
     "m7_tree_grid": m7_tree_grid,
     "l1_pipeline_nb": l1_pipeline_nb,
     "l1_pipeline_logreg": l1_pipeline_logreg,
+    "l1_staged_nb": l1_staged_nb,
     "l2_model_table": l2_model_table,
     "l3_forest_accuracy": l3_forest_accuracy,
     "l4_logreg_embeddings": l4_logreg_embeddings,

@@ -303,6 +303,7 @@ def build() -> dict[str, str]:
                        ", gm AS (SELECT alpha, round(avg(accuracy), 6) AS mean_accuracy FROM gacc GROUP BY alpha) "
                        f"SELECT alpha AS best_alpha, mean_accuracy AS best_score FROM gm "
                        f"ORDER BY mean_accuracy DESC, list_position([{al}], alpha) LIMIT 1")
+    q["l1_staged_nb"] = q["l1_pipeline_nb"]
     q["g3_smote"] = smote_sql()
     q["g3_smote_sparse"] = smote_sparse_sql()
     q["r1_stream_latest"] = "WITH " + last_value_sql() + "SELECT user_id, event_type, value FROM lastv"
