@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlane.operators import clean, features as feat, metrics as met, mllib, models, runs, text
+from textlane.operators import clean, features as feat, metrics as met, mllib, models, runs, sentences, text
 from textlane.plans.catalog import (SPLIT_SEED, TEST_SIZE, _events, _r, clean_tokens, docs, docs_by_id, flagship,
                                     lang_split, tfidf_features)
 from textlane.session import fresh_path, materialize
@@ -136,5 +136,19 @@ def r8_run_status(spark: SparkSession, d: str) -> DataFrame:
     return runs.run_status(_events(spark, d), "user_id", "event_type", ["ts", "event_id"], finished=("purchase",), failed=("error",))
 
 
-QUERIES = {f.__name__: f for f in (s1_json_scan, s6_model_roundtrip, s11_run_log, t2_treebank, t3_stopword_dir, t5_lexicon_tags,
+def t2_abbreviations(spark: SparkSession, d: str) -> DataFrame:
+    """Word types that the corpus shows to be abbreviations, by language."""
+    scores = sentences.type_scores(docs(spark, d)).filter(F.round("score", 9) >= sentences.MIN_SCORE)
+    return scores.select("lang", "type", "n", "n_period", _r("score").alias("score"))
+
+
+def t2_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences of every document: their number, the longest one and all their characters."""
+    found = materialize(sentences.abbreviations(docs(spark, d)), "abbreviations")
+    out = sentences.split_sentences(docs(spark, d), found)
+    size = F.length("sentence")
+    return out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.max(size).alias("longest"), F.sum(size).alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (s1_json_scan, t2_abbreviations, t2_sentences, s6_model_roundtrip, s11_run_log, t2_treebank, t3_stopword_dir, t5_lexicon_tags,
                                   f2_tfidf_train, e8_registry_eval, r8_run_status)}

@@ -10,6 +10,20 @@ _APART = (r"regexp_extract_all(regexp_replace(regexp_replace(lower(text), '([\p{
           r"'n''t|''(?:ll|re|ve|s|m|d)|\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{N}_]+(?:-[\p{L}\p{N}_]+)*|[^ \t\n\r\f\v\p{L}\p{N}_]')")
 
 
+_TYPES = (
+    r"words AS (SELECT lang, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*\.?')) AS w FROM documents)",
+    r"types AS (SELECT lang, lower(regexp_replace(w, '\.$', '')) AS type, count(*) AS n, sum(CASE WHEN ends_with(w, '.') THEN 1 ELSE 0 END)::BIGINT "
+    "AS n_period FROM words GROUP BY ALL)",
+    "shares AS (SELECT lang, sum(n_period) / sum(n) AS share FROM types GROUP BY lang)",
+    "scored AS (SELECT types.*, length(replace(type, '.', '')) AS size, "
+    "-2 * (n_period * ln(share) + CASE WHEN n > n_period THEN (n - n_period) * ln(1 - share) ELSE 0 END "
+    "- n_period * ln(0.99) - (n - n_period) * ln(1 - 0.99)) AS ratio FROM types JOIN shares ON types.lang IS NOT DISTINCT FROM shares.lang "
+    r"WHERE n_period > 0 AND regexp_matches(type, '\p{L}'))",
+    "found AS (SELECT lang, type, n, n_period, ratio * exp(-size) * (length(type) - size + 1) * pow(size, -(n - n_period)::DOUBLE) AS score "
+    "FROM scored)",
+    "abbr AS (SELECT * FROM found WHERE round(score, 9) >= 0.3)")
+
+
 def build_flows() -> dict[str, str]:
     q: dict[str, str] = {}
     q["s1_json_scan"] = build()["p_clean"]
@@ -24,6 +38,18 @@ def build_flows() -> dict[str, str]:
         "UNION ALL SELECT 'flagship', 'tag', 'model', NULL, 'MultinomialNB'")
     q["t2_treebank"] = (f"SELECT lang, count(*) AS n_tokens, count(DISTINCT term) AS n_terms FROM "
                         f"(SELECT lang, unnest({_APART}) AS term FROM documents) GROUP BY lang")
+    q["t2_abbreviations"] = with_(*_TYPES) + "SELECT lang, type, n, n_period, round(score, 6) AS score FROM abbr"
+    q["t2_sentences"] = with_(
+        *_TYPES,
+        r"cut AS (SELECT doc_id, lang, string_split(regexp_replace(text, '([.!?])[ \t\n\r]+(\p{Lu})', '\1' || chr(30) || '\2', 'g'), chr(30)) AS ps "
+        "FROM documents WHERE length(text) > 0)",
+        "pieces AS (SELECT doc_id, lang, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pos FROM cut)",
+        r"ends AS (SELECT pieces.*, abbr.type IS NULL AS closed FROM pieces LEFT JOIN abbr ON abbr.lang IS NOT DISTINCT FROM pieces.lang "
+        r"AND abbr.type = lower(regexp_extract(piece, '([\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*)\.\z', 1)))",
+        "numbered AS (SELECT *, coalesce(sum(closed::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+        "AS no FROM ends)",
+        "sent AS (SELECT doc_id, no, length(string_agg(piece, ' ' ORDER BY pos)) AS size FROM numbered GROUP BY doc_id, no)",
+    ) + "SELECT doc_id, count(*) AS n_sentences, max(size) AS longest, sum(size)::BIGINT AS n_chars FROM sent GROUP BY doc_id"
     q["t3_stopword_dir"] = (with_(TOK[0]) + ", stop AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 0.5 * "
                             "(SELECT count(*) FROM documents d WHERE d.lang = tok.lang)) "
                             "SELECT lang, count(*) AS n_tokens, count(DISTINCT term) AS n_terms FROM tok "
