@@ -463,6 +463,7 @@ def test_odd_markup_takes_time_in_proportion():
             page = style_tree.Page(make(n))
             page.text(set())
             page.text({page.path[-1]})
+            page.features()
             for block in page.blocks:
                 page.paths(block[-1][0])
             took.append(time.process_time() - begin)
@@ -479,26 +480,64 @@ def test_importance_equals_entropies_worked_out_by_hand(spark):
     sources = []
     for k in range(12):
         middle = f"<div class=text><p>{' '.join(words(rng, 6))}</p>" + "<p>more</p>" * (k % 3) + "</div>"
-        sources.append(f"<body><div class=top><span>Site</span></div>{middle}<div class=end>{'same' if k < 9 else k}</div></body>")
+        sources.append(f"<body><div class=top><a href=/{k % 3}>Site</a></div>{middle}<div class=end>{'same' if k < 9 else k}</div></body>")
     want = {}
     pages = [style_tree.Page(s) for s in sources]
-    for path in {p for page in pages for k, p in enumerate(page.path) if k}:
-        styles, blocks, m = Counter(), Counter(), 0
+    own = {p: [Counter(w for block in page.blocks for k, t in block if page.path[k] == p for w in t.split())
+               + Counter("\n" + t for k, t in page.links if page.path[k] == p) for page in pages]
+           for page in pages for p in page.path[1:]}
+    for path in own:
+        styles, m, below = Counter(), 0, set()
         for page in pages:
             mine = {k for k, p in enumerate(page.path) if k and p == path}
             m += bool(mine)
             styles.update({page.style[k] for k in mine})
-            below = page.within(mine)
-            blocks.update({" ".join("".join(t for _, t in b).split()) for b in page.blocks if below[b[-1][0]]})
+            below |= {page.path[k] for k, inside in enumerate(page.within(mine)) if inside}
         uses = sum(styles.values())
         looks = -sum(n / uses * math.log(n / uses) for n in styles.values()) / math.log(m)
-        says = 1 - (sum(math.log(n) for n in blocks.values()) / len(blocks) if blocks else 0) / math.log(m)
+        weight = logs = 0
+        for p in below:
+            for w in set().union(*own[p]):
+                n = sum(c[w] for c in own[p])
+                weight, logs = weight + n, logs + n * math.log(sum(w in c for c in own[p]))
+        says = 1 - logs / weight / math.log(m) if weight else None
         share = style_tree.GAMMA ** len(styles)
-        want[path] = (m, (1 - share) * looks + share * says)
+        want[path] = (m, (1 - share) * looks + share * (1 if says is None else says), says, weight)
+    texts = [w for w in want if any(own[w])]
+    reference = sum(want[p][2] * want[p][3] for p in texts) / sum(want[p][3] for p in texts)
     df = spark.createDataFrame([(1, s) for s in sources], "host_key long, html string")
-    got = {r.node: (r.pages, r.importance) for r in style_tree.importance(df).collect()}
+    got = {r.node: r for r in style_tree.importance(df).collect()}
     assert got.keys() == want.keys()
-    assert all(got[p][0] == want[p][0] and abs(got[p][1] - want[p][1]) < 1e-9 for p in want)
+    for p, (m, value, says, _) in want.items():
+        assert got[p].pages == m and abs(got[p].importance - value) < 1e-9 and abs(got[p].reference - reference) < 1e-9
+        assert got[p].content is says is None or abs(got[p].content - says) < 1e-9
+
+
+def test_tree_alone_removes_footers_with_a_changing_sentence(spark):
+    """No name and no block tells such a footer: only its words, held against those of its host's articles."""
+    rng = random.Random(23)
+    some = [" ".join(words(rng, 60)) for _ in range(40)]
+    page = "<body><div class=text><p>{}</p><p>{}</p></div><div class=low>All rights of h.org, the site of the town: {}</div>"
+    rows = [(k, f"http://h.org/{k}", page.format(some[k], some[k][::-1], " ".join(words(rng, 2)))) for k in range(40)]
+    rows += [(100 + k, f"http://few.org/{k}", page.format(some[k], some[k][::-1], "x")) for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for names in (True, False):
+        by = {r.page_id: r.text for r in style_tree.extract(df, by_names=names).collect()}
+        assert all(by[k] == some[k] + "\n" + some[k][::-1] for k in range(40))
+        assert all("All rights" in by[100 + k] for k in range(3))
+    # without names a menu that differs per page stays; hidden elements never show
+    menu = spark.createDataFrame([(1, "http://m.org/1", "<head><title>t</title></head><nav>menu</nav><p>text</p><script>x</script>")],
+                                 "page_id long, url string, html string")
+    assert [r.text for r in style_tree.extract(menu, by_names=False).collect()] == ["menu\ntext"]
+    assert [r.text for r in style_tree.extract(menu).collect()] == ["text"]
+
+
+def test_style_tree_takes_deep_and_long_pages(spark):
+    rows = [(k, "http://deep.org/x", "<div>x " * 3000 + str(k)) for k in range(12)]
+    rows += [(100 + k, "http://long.org/x", "<body>" + f"<p>word{k} " * 20000 + "<a href=/z>" + "y" * 200000) for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("node", F.lit(1)).withColumn("content", F.lit("x"))
+    by = {r.page_id: r.text for r in style_tree.extract(df).collect()}
+    assert all(by[k].count("x") == 3000 for k in range(12)) and all(by[100 + k].count(f"word{k}") == 20000 for k in range(2))
 
 
 def test_style_tree_weighs_articles_against_main():

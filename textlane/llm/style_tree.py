@@ -1,19 +1,25 @@
 """HTML extraction with a site style tree.
 
-All pages of a host are merged: a node of the tree is a path of elements (tag, classes and id without digits).
-Pages that are equal outside noise count as one, so that copies don't make their text common.
+All pages of a host are merged: a node of the tree is a path of elements (tag, classes and id without digits), whatever its
+markup is called.  Pages that are equal outside noise count as one, so that copies don't make their text common.
 Spark counts, per host and node, the pages that have it, the styles (sequences of child elements) it takes, and the
-text blocks below it.  Its importance combines presentation and content, after the published style tree: with m pages,
-l styles and g = 0.9,
+words and link targets that stand in it.  Its importance combines presentation and content, after the published style tree:
+with m pages, l styles and g = 0.9,
 
     presentation  entropy of the styles, in units of log m
-    content       1 - mean over the distinct blocks of log(pages with the block) / log m
+    content       1 - mean of log(pages with the feature in its element) / log m over the features in and below the node,
+                  weighted by how often they occur
     importance    (1 - g^l) * presentation + g^l * content
 
-Branches of low importance (the same on most pages) are removed from each page, besides those that the markup itself
-names as menus, headers, footers, sidebars, notices, adverts, forms or comments.  A low branch that holds most of the
-page's text is kept whole: there the host repeats the text itself.  Where a page marks its article, text
-flow inside the article (paragraphs, headings, lists) is never removed as low, so that copied articles keep their text.
+A branch is low if its importance is (the same on most pages), or if it says less than the articles of its host:
+its content is under ``RELATIVE`` times theirs (that of all text, where a host marks no article).  Natural text repeats
+words too, so a footer with a changing sentence is told by this comparison and not by a fixed limit.
+
+Low branches are removed from each page, and besides those that the markup itself names as menus, headers, footers,
+sidebars, notices, adverts, forms or comments: menus and adverts may differ on every page, which no entropy tells from
+content.  A low branch that holds most of the page's text is kept whole: there the host repeats the text itself.  Where a
+page marks its article, text flow inside it (paragraphs, headings, lists) is never removed, so that copied
+articles keep their text, and other branches inside it only by their importance, not by the comparison.
 
 Counting is by partial aggregation of hashes; no page, host or node is gathered into one task.
 """
@@ -22,7 +28,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Set
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +43,8 @@ from textlane.llm.url_rules import host_of
 
 GAMMA = 0.9
 LOW_IMPORTANCE = 0.2
+#: A branch with less content than this share of its host's articles is low, too.
+RELATIVE = 0.9
 #: Hosts with fewer pages with a node say nothing about it.
 MIN_PAGES = 10
 #: Elements nested deeper share the path of the element at this depth.
@@ -70,8 +79,11 @@ NOISE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments reply replies respond discussion disqus".split())
 HEADER_WORDS = frozenset(("header", "topbar"))
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+#: What no reader sees, also where names decide nothing.
+HIDDEN_TAGS = frozenset("head script style noscript template iframe object svg title".split())
 MAIN_WORDS = frozenset("article story post entry articlebody postbody".split())
 _WORDS = re.compile(r"[a-z]+")
+_HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
 _TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.I)
@@ -106,12 +118,13 @@ class Page:
 
     ``parent``, ``tag``, ``path`` (hash of the chain of elements), ``style`` (hash of the child elements), ``noise`` (by the
     markup) and ``rank`` (3 article, 2 main, 1 marked by class, 0) describe the elements; a block is a list of (element, text).
-    Hashes are those of tuples of integers, which are the same in every process.
+    ``links`` are the targets of links, as (element, address).  Hashes are those of tuples of integers, which are the same in every process.
     """
 
     def __init__(self, source: str | None) -> None:
         self.parent, self.tag, self.path, self.style, self.noise, self.rank = [-1], [""], [0], [0], [False], [0]
         self.blocks: list[list[tuple[int, str]]] = []
+        self.links: list[tuple[int, str]] = []
         self._depth, self._open, self._parts, self._inside = [0], [0], [], [False]
         # Places in the stack of open elements, by name and of those that are blocks; the deepest ancestor with a path of its own.
         self._places: dict[str, list[int]] = {}
@@ -149,6 +162,8 @@ class Page:
         if name in SIBLINGS:
             self._close(name, SIBLINGS[name])
         up = self._open[-1]
+        if name == "a" and (link := _HREF.search(attrs)):
+            self.links.append((len(self.tag), link[1] or link[2] or link[3] or ""))
         attrs = attrs if attrs and _TELLING.search(attrs) else ""
         key, noise, noise_outside, rank = (_known_element if len(attrs) <= _KNOWN_ATTRS else element)(name, attrs)
         self.style[up] = hash((self.style[up], key))
@@ -222,15 +237,29 @@ class Page:
         """The elements of that rank outside noise."""
         return {k for k, r in enumerate(self.rank) if r == rank and not self.noise[k]}
 
-    def text(self, low: set[int]) -> str:
+    def features(self) -> Counter[tuple[int, str]]:
+        """How often each word and link target stands directly in a path (link targets follow a line break)."""
+        own: dict[int, list[str]] = {}
+        for block in self.blocks:
+            for k, t in block:
+                own.setdefault(self.path[k], []).extend(t.split())
+        for k, target in self.links:
+            own.setdefault(self.path[k], []).append("\n" + target)
+        return Counter({(path, w): n for path, words in own.items() for w, n in Counter(words).items()})
+
+    def text(self, low: set[int], thin: Set[int] = frozenset(), by_names: bool = True) -> str:
         """The article: its blocks without noise and without branches of low importance.
 
         Articles count if they hold at least half of what the page's main elements would give, or its body if it has none;
         the headings of a main before its first article belong to it.  Otherwise the main elements are read.  Without
         those, containers that only their class marks count if they hold at least half of what the body would give.
+        Branches of ``thin`` are low where a main or the body is read.  Without names only the tree decides: the body is
+        read without its low branches.
         """
+        if not by_names:
+            return self._blocks_of(set(), low | thin, False)
         articles, mains = self.ranked(3), self.ranked(2)
-        whole = self._blocks_of(mains, low)
+        whole = self._blocks_of(mains, low | thin)
         if articles:
             found = self._blocks_of(articles, low)
             if 2 * len(found) >= len(whole):
@@ -246,22 +275,23 @@ class Page:
             return found if 2 * len(found) >= len(whole) else whole
         return whole
 
-    def _sizes(self) -> list[int]:
+    def _sizes(self, noise: list[bool]) -> list[int]:
         """Characters of text outside noise in and below each element."""
         sizes = [0] * len(self.tag)
         for block in self.blocks:
             for k, t in block:
-                if not self.noise[k]:
+                if not noise[k]:
                     sizes[k] += len(t.strip())
         for k in range(len(sizes) - 1, 0, -1):
             sizes[self.parent[k]] += sizes[k]
         return sizes
 
-    def _blocks_of(self, main: set[int], low: set[int]) -> str:
+    def _blocks_of(self, main: set[int], low: set[int], by_names: bool = True) -> str:
         out = []
+        noise = self.noise if by_names else self.within({k for k, t in enumerate(self.tag) if t in HIDDEN_TAGS})
         # element -> (inside the article, removed, in a low branch with most of the text)
         state: dict[int, tuple[bool, bool, bool]] = {0: (not main, False, False)}
-        sizes = self._sizes() if low else []
+        sizes = self._sizes(noise) if low else []
         total = 0
         if low:
             inner = self.within(main)
@@ -274,7 +304,7 @@ class Page:
                 node = self.parent[node]
             for k in reversed(todo):
                 inside, gone, whole = state[self.parent[k]]
-                gone = gone or self.noise[k]
+                gone = gone or noise[k]
                 inside = inside or k in main
                 if inside and not gone and not whole and self.path[k] in low:
                     whole = 2 * sizes[k] > total
@@ -291,74 +321,139 @@ class Page:
         return "\n".join(out)
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+@lru_cache(maxsize=1 << 16)
+def _feature(word: str) -> int:
+    return _hash(word) & 0xFFFFFFFF
+
+
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host_key, content, seen) of each page: what is seen outside noise as rows (node, kind, value), and its hash.
+    """(host_key, content, nodes, leaves, features) of each page.
 
-    Kind 0 is the node itself, 1 its styles, 2 the blocks below it.
+    content hashes what is seen outside noise.  nodes holds rows (node, style, whether it marks an article), leaves the nodes
+    that text or links stand in, features the columns (place in leaves, 32 bits of the feature's hash, occurrences).
     """
     for batch in batches:
-        contents, rows = [], []
+        out = {c: [] for c in ("content", "nodes", "leaves", "features")}
         for source in batch.column("html").to_pylist():
             page = Page(source)
+            count = page.features()
             shown = [k for k in range(1, len(page.tag)) if not page.noise[k]]
-            seen = {(page.path[k], 0, 0) for k in shown} | {(page.path[k], 1, page.style[k]) for k in shown}
+            seen = {(page.path[k], 0, page.style[k]) for k in shown}
             for block in page.blocks:
-                node = block[-1][0]
-                if page.noise[node]:
-                    continue
-                words = " ".join("".join(t for _, t in block).split())
-                value = xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63)
-                seen.update((path, 2, value) for path in page.paths(node))
-            raw = np.array(sorted(seen), dtype=np.int64).tobytes()
-            contents.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
-            rows.append(raw)
-        yield pa.RecordBatch.from_arrays([batch.column("host_key"), pa.array(contents, pa.int64()), pa.array(rows, pa.binary())],
-                                         names=["host_key", "content", "seen"])
+                if not page.noise[block[-1][0]]:
+                    words = " ".join("".join(t for _, t in block).split())
+                    seen.add((page.path[block[-1][0]], 1, _hash(words)))
+            out["content"].append(xxhash.xxh3_64_intdigest(np.array(sorted(seen), dtype=np.int64).tobytes()) - (1 << 63))
+            nodes = sorted({(page.path[k], page.style[k], int(page.rank[k] >= 2 and not page.noise[k])) for k in range(1, len(page.tag))})
+            out["nodes"].append(np.array(nodes, dtype=np.int64).tobytes())
+            leaves = {path: i for i, path in enumerate(sorted({path for path, _ in count if path}))}
+            out["features"].append(np.array(sorted((leaves[p], _feature(w) if len(w) < 100 else _hash(w) & 0xFFFFFFFF, n)
+                                                   for (p, w), n in count.items() if p), dtype=np.uint32).T.tobytes())
+            ups: dict[int, set[int]] = {}
+            for k in [*{block[j][0] for block in page.blocks for j in range(len(block))}, *(k for k, _ in page.links)]:
+                if page.path[k] in leaves and page.path[k] not in ups:
+                    ups[page.path[k]] = page.paths(k)
+            out["leaves"].append(np.array([x for p in leaves for x in (p, len(ups[p]), *sorted(ups[p]))], dtype=np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("host_key"), pa.array(out["content"], pa.int64()),
+                                          *(pa.array(out[c], pa.binary()) for c in ("nodes", "leaves", "features"))],
+                                         names=["host_key", *out])
+
+
+def _leaf_rows(raw: bytes) -> tuple[list[int], list[tuple[int, int]]]:
+    """The leaves in order, and the pairs (leaf, node that it is or stands in)."""
+    flat, at = np.frombuffer(raw, dtype=np.int64).tolist(), 0
+    leaves, pairs = [], []
+    while at < len(flat):
+        leaf, n = flat[at], flat[at + 1]
+        leaves.append(leaf)
+        pairs.extend((leaf, up) for up in flat[at + 2:at + 2 + n])
+        at += 2 + n
+    return leaves, pairs
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host_key, node, kind, value, uses): kind 0 is the node (value: whether it marks an article), 1 a style, 2 a feature."""
     for batch in batches:
-        seen = [np.frombuffer(x, dtype=np.int64).reshape(-1, 3) for x in batch.column("seen").to_pylist()]
-        rows = np.concatenate([np.empty((0, 3), dtype=np.int64), *seen])
-        hosts = np.repeat(np.array(batch.column("host_key").to_pylist(), dtype=np.int64), [len(x) for x in seen])
-        yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].astype(np.int32)),
-                                          pa.array(rows[:, 2].copy())], names=["host_key", "node", "kind", "value"])
+        parts = [np.empty((0, 5), dtype=np.int64)]
+        for host, nodes, leaves, features in zip(*(batch.column(c).to_pylist() for c in ("host_key", "nodes", "leaves", "features")), strict=True):
+            known: dict[int, int] = {}
+            styles = np.frombuffer(nodes, dtype=np.int64).reshape(-1, 3)
+            for node, _, marks in styles.tolist():
+                known[node] = known.get(node, 0) | marks
+            own = np.array([(host, node, 0, marks, 1) for node, marks in known.items()], dtype=np.int64).reshape(-1, 5)
+            pairs = np.unique(styles[:, :2], axis=0)
+            place, value, n = np.frombuffer(features, dtype=np.uint32).reshape(3, -1).astype(np.int64)
+            leaf = np.array(_leaf_rows(leaves)[0], dtype=np.int64)
+            stack = lambda node, kind, value, n: np.column_stack(
+                [np.full(len(node), host, dtype=np.int64), node, np.full(len(node), kind, dtype=np.int64), value, n])
+            parts += [own, stack(pairs[:, 0], 1, pairs[:, 1], np.ones(len(pairs), dtype=np.int64)), stack(leaf[place], 2, value, n)]
+        rows = np.concatenate(parts)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2].astype(np.int32)),
+                                          pa.array(rows[:, 3].copy()), pa.array(rows[:, 4].copy())],
+                                         names=["host_key", "node", "kind", "value", "uses"])
+
+
+def _nesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct rows (host_key, node, up) of a batch: the nodes with text and the nodes that they stand in."""
+    for batch in batches:
+        rows = {(host, *pair) for host, raw in zip(batch.column("host_key").to_pylist(), batch.column("leaves").to_pylist(), strict=True)
+                for pair in _leaf_rows(raw)[1]}
+        flat = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(flat[:, i].copy()) for i in range(3)], names=["host_key", "node", "up"])
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """host_key, node, pages, importance of the merged tree's nodes (pages: host_key, html); equal contents are one page."""
-    contents = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, content long, seen binary")
-                .groupBy("host_key", "content").agg(F.first("seen").alias("seen")))
-    counts = (contents.select("host_key", "seen").mapInArrow(_unpack, "host_key long, node long, kind int, value long")
-              .groupBy("host_key", "node", "kind", "value").agg(F.count("*").alias("n")))
+    """host_key, node, pages, content, importance, reference of the merged tree's nodes (pages: host_key, html).
+
+    Equal contents are one page.  content is null for a node without words and links (its importance takes it as 1);
+    reference is the content of the host's articles, or of all its text if it marks none.
+    """
+    packed = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, content long, nodes binary, leaves binary, features binary")
+              .groupBy("host_key", "content").agg(F.min(F.struct("nodes", "leaves", "features")).alias("p")).select("host_key", "p.*"))
+    counts = (packed.mapInArrow(_unpack, "host_key long, node long, kind int, value long, uses long")
+              .groupBy("host_key", "node", "kind", "value").agg(F.count("*").alias("n"), F.sum("uses").alias("uses")))
     ln = F.log("n")
-    style, block = F.col("kind") == 1, F.col("kind") == 2
-    t = counts.groupBy("host_key", "node").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
-        F.sum(F.when(style, F.col("n"))).alias("uses"), F.sum(F.when(style, F.col("n") * ln)).alias("use_logs"),
-        F.count(F.when(style, 1)).alias("styles"), F.avg(F.when(block, ln)).alias("block_log"))
+    itself, style, feature = F.col("kind") == 0, F.col("kind") == 1, F.col("kind") == 2
+    nodes = spread(counts.groupBy("host_key", "node").agg(
+        F.sum(F.when(itself, F.col("n"))).alias("pages"), F.max(F.when(itself, F.col("value"))).alias("marks"),
+        F.sum(F.when(style, F.col("n"))).alias("looks_n"), F.sum(F.when(style, F.col("n") * ln)).alias("look_logs"),
+        F.count(F.when(style, 1)).alias("styles"),
+        F.sum(F.when(feature, F.col("uses"))).alias("uses"), F.sum(F.when(feature, F.col("uses") * ln)).alias("use_logs")), "tree-nodes")
+    below = packed.select("host_key", "nodes", "leaves", "features").mapInArrow(_nesting, "host_key long, node long, up long").distinct()
+    below = (below.join(nodes.select("host_key", "node", "uses", "use_logs"), ["host_key", "node"]).groupBy("host_key", F.col("up").alias("node"))
+             .agg(F.sum("uses").alias("all_uses"), F.sum("use_logs").alias("all_logs")))
     unit = F.log("pages")
-    looks = (F.log("uses") - F.col("use_logs") / F.col("uses")) / unit
-    says = F.lit(1.0) - F.coalesce("block_log", F.lit(0.0)) / unit
+    looks = (F.log("looks_n") - F.col("look_logs") / F.col("looks_n")) / unit
     share = F.pow(F.lit(GAMMA), "styles")
-    return t.select("host_key", "node", "pages", F.when(F.col("pages") > 1, (1 - share) * looks + share * says)
-                    .otherwise(F.lit(1.0)).alias("importance"))
+    says = F.when(F.col("pages") > 1, F.lit(1.0) - F.col("all_logs") / F.col("all_uses") / unit).otherwise(F.lit(1.0))
+    tree = nodes.join(below, ["host_key", "node"], "left").withColumn("content", F.when(F.col("all_uses") > 0, says))
+    tree = tree.withColumn("importance", F.when(
+        F.col("pages") > 1, (1 - share) * looks + share * F.coalesce("content", F.lit(1.0))).otherwise(F.lit(1.0)))
+    mean = lambda rows: F.sum(F.when(rows, F.col("content") * F.col("all_uses"))) / F.sum(F.when(rows, F.col("all_uses")))
+    hosts = tree.groupBy("host_key").agg(F.coalesce(mean(F.col("marks") == 1), mean(F.col("uses") > 0)).alias("reference"))
+    return tree.join(hosts, "host_key").select("host_key", "node", "pages", "content", "importance", "reference")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        known: dict[int, set[int]] = {}
+        known: dict[int, tuple[set[int], set[int]]] = {}
         texts = []
-        for host, low, source in zip(*(batch.column(c).to_pylist() for c in ("host_key", "low", "html")), strict=True):
+        for host, low, thin, by_names, source in zip(*(batch.column(c).to_pylist() for c in ("host_key", "low", "thin", "by_names", "html")),
+                                                     strict=True):
             if host not in known:
-                known[host] = set(low or ())
-            texts.append(Page(source).text(known[host]))
+                known[host] = set(low or ()), set(thin or ())
+            texts.append(Page(source).text(*known[host], by_names))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """page_id, url, text of every page row.
+def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages: int = MIN_PAGES, relative: float = RELATIVE,
+            by_names: bool = True) -> DataFrame:
+    """page_id, url, text of every page row.  Without ``by_names`` the tree alone decides what is removed from the body.
 
     pages: page_id, url, html; other columns are not read.  A null or empty html gives an empty text; a null url belongs to
     the empty host.  Blocks are block-level elements; their white space is one space, blocks are joined by a newline in
@@ -369,8 +464,11 @@ def extract(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages:
     """
     rows = pages.select("page_id", "url", "html").withColumn("host_key", F.xxhash64(host_of(F.col("url"))))
     tree = importance(rows)
-    low = tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < low_importance))
-    low = spread(low.groupBy("host_key").agg(F.collect_set("node").alias("low")), "low-branches")
+    is_low, is_thin = F.col("importance") < low_importance, F.col("content") < relative * F.col("reference")
+    low = tree.filter((F.col("pages") >= min_pages) & (is_low | is_thin))
+    low = spread(low.groupBy("host_key").agg(F.collect_set(F.when(is_low, F.col("node"))).alias("low"),
+                                             F.collect_set(F.when(is_thin, F.col("node"))).alias("thin")), "low-branches")
     kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.join(low, "host_key", "left").select("page_id", "url", "html", "host_key", "low").mapInArrow(
+    return rows.join(low, "host_key", "left").select(
+        "page_id", "url", "html", "host_key", "low", "thin", F.lit(by_names).alias("by_names")).mapInArrow(
         _extract, f"page_id {kind}, url string, text string")
