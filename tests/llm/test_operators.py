@@ -480,12 +480,15 @@ def test_importance_equals_entropies_worked_out_by_hand(spark):
     sources = []
     for k in range(12):
         middle = f"<div class=text><p>{' '.join(words(rng, 6))}</p>" + "<p>more</p>" * (k % 3) + "</div>"
-        sources.append(f"<body><div class=top><a href=/{k % 3}>Site</a></div>{middle}<div class=end>{'same' if k < 9 else k}</div></body>")
+        sources.append(f"<body><div class=top><a href=/{k % 3}>Site</a></div>{middle}<div class=end>{'same' if k < 9 else k}, fixed words, {k // 2}</div></body>")
     want = {}
     pages = [style_tree.Page(s) for s in sources]
-    own = {p: [Counter(w for block in page.blocks for k, t in block if page.path[k] == p for w in t.split())
-               + Counter("\n" + t for k, t in page.links if page.path[k] == p) for page in pages]
-           for page in pages for p in page.path[1:]}
+    def said(page, path):   # clauses end behind a mark before a blank
+        clauses = Counter(c for block in page.blocks for k, t in block if page.path[k] == path
+                          for c in " ".join(t.split()).replace(", ", ",\r").split("\r") if c)
+        return Counter({c: n * len(c) for c, n in clauses.items()}) + Counter({"\n" + t: 1 + len(t) for k, t in page.links if page.path[k] == path})
+
+    own = {p: [said(page, p) for page in pages] for page in pages for p in page.path[1:]}
     for path in own:
         styles, m, below = Counter(), 0, set()
         for page in pages:

@@ -3,17 +3,17 @@
 All pages of a host are merged: a node of the tree is a path of elements (tag, classes and id without digits), whatever its
 markup is called.  Pages that are equal outside noise count as one, so that copies don't make their text common.
 Spark counts, per host and node, the pages that have it, the styles (sequences of child elements) it takes, and the
-words and link targets that stand in it.  Its importance combines presentation and content, after the published style tree:
+clauses (text up to a punctuation mark) and link targets that stand in it.  Its importance combines presentation and content, after the published style tree:
 with m pages, l styles and g = 0.9,
 
     presentation  entropy of the styles, in units of log m
     content       1 - mean of log(pages with the feature in its element) / log m over the features in and below the node,
-                  weighted by how often they occur
+                  weighted by their occurrences and characters
     importance    (1 - g^l) * presentation + g^l * content
 
 A branch is low if its importance is (the same on most pages), or if it says less than the articles of its host:
-its content is under ``RELATIVE`` times theirs (that of all text, where a host marks no article).  Natural text repeats
-words too, so a footer with a changing sentence is told by this comparison and not by a fixed limit.
+its content is under ``RELATIVE`` times theirs (that of all text, where a host marks no article).  A footer
+with a changing sentence beside its fixed words is told by this comparison and not by a fixed limit.
 
 Low branches are removed from each page, and besides those that the markup itself names as menus, headers, footers,
 sidebars, notices, adverts, forms or comments: menus and adverts may differ on every page, which no entropy tells from
@@ -83,6 +83,8 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 HIDDEN_TAGS = frozenset("head script style noscript template iframe object svg title".split())
 MAIN_WORDS = frozenset("article story post entry articlebody postbody".split())
 _WORDS = re.compile(r"[a-z]+")
+#: Clauses of a text end at white space behind a character that is no letter, digit or underscore.
+_CLAUSE = re.compile(r"(?<=[^\w\s]) ")
 _HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -237,15 +239,18 @@ class Page:
         """The elements of that rank outside noise."""
         return {k for k, r in enumerate(self.rank) if r == rank and not self.noise[k]}
 
-    def features(self) -> Counter[tuple[int, str]]:
-        """How often each word and link target stands directly in a path (link targets follow a line break)."""
-        own: dict[int, list[str]] = {}
+    def features(self) -> dict[int, Counter[str]]:
+        """Characters of each clause and link target that stands directly in a path (link targets follow a line break)."""
+        own: dict[int, Counter[str]] = {}
         for block in self.blocks:
             for k, t in block:
-                own.setdefault(self.path[k], []).extend(t.split())
+                mine = own.setdefault(self.path[k], Counter())
+                for clause in _CLAUSE.split(" ".join(t.split())):
+                    if clause:
+                        mine[clause] += len(clause)
         for k, target in self.links:
-            own.setdefault(self.path[k], []).append("\n" + target)
-        return Counter({(path, w): n for path, words in own.items() for w, n in Counter(words).items()})
+            own.setdefault(self.path[k], Counter())["\n" + target] += len(target) + 1
+        return own
 
     def text(self, low: set[int], thin: Set[int] = frozenset(), by_names: bool = True) -> str:
         """The article: its blocks without noise and without branches of low importance.
@@ -325,107 +330,67 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-@lru_cache(maxsize=1 << 16)
-def _feature(word: str) -> int:
-    return _hash(word) & 0xFFFFFFFF
-
-
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host_key, content, nodes, leaves, features) of each page.
+    """(host_key, content, seen) of each page: what is seen as rows (node, kind, value, uses), and the hash of what is outside noise.
 
-    content hashes what is seen outside noise.  nodes holds rows (node, style, whether it marks an article), leaves the nodes
-    that text or links stand in, features the columns (place in leaves, 32 bits of the feature's hash, occurrences).
+    Kind 0 is the node itself (value: whether it marks an article), 1 its styles, 2 the features that stand directly in it
+    (uses: their characters), 3 the nodes that it stands in if it has features, itself included.
     """
     for batch in batches:
-        out = {c: [] for c in ("content", "nodes", "leaves", "features")}
+        contents, rows = [], []
         for source in batch.column("html").to_pylist():
             page = Page(source)
-            count = page.features()
             shown = [k for k in range(1, len(page.tag)) if not page.noise[k]]
             seen = {(page.path[k], 0, page.style[k]) for k in shown}
             for block in page.blocks:
                 if not page.noise[block[-1][0]]:
-                    words = " ".join("".join(t for _, t in block).split())
-                    seen.add((page.path[block[-1][0]], 1, _hash(words)))
-            out["content"].append(xxhash.xxh3_64_intdigest(np.array(sorted(seen), dtype=np.int64).tobytes()) - (1 << 63))
-            nodes = sorted({(page.path[k], page.style[k], int(page.rank[k] >= 2 and not page.noise[k])) for k in range(1, len(page.tag))})
-            out["nodes"].append(np.array(nodes, dtype=np.int64).tobytes())
-            leaves = {path: i for i, path in enumerate(sorted({path for path, _ in count if path}))}
-            out["features"].append(np.array(sorted((leaves[p], _feature(w) if len(w) < 100 else _hash(w) & 0xFFFFFFFF, n)
-                                                   for (p, w), n in count.items() if p), dtype=np.uint32).T.tobytes())
-            ups: dict[int, set[int]] = {}
-            for k in [*{block[j][0] for block in page.blocks for j in range(len(block))}, *(k for k, _ in page.links)]:
-                if page.path[k] in leaves and page.path[k] not in ups:
-                    ups[page.path[k]] = page.paths(k)
-            out["leaves"].append(np.array([x for p in leaves for x in (p, len(ups[p]), *sorted(ups[p]))], dtype=np.int64).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("host_key"), pa.array(out["content"], pa.int64()),
-                                          *(pa.array(out[c], pa.binary()) for c in ("nodes", "leaves", "features"))],
-                                         names=["host_key", *out])
-
-
-def _leaf_rows(raw: bytes) -> tuple[list[int], list[tuple[int, int]]]:
-    """The leaves in order, and the pairs (leaf, node that it is or stands in)."""
-    flat, at = np.frombuffer(raw, dtype=np.int64).tolist(), 0
-    leaves, pairs = [], []
-    while at < len(flat):
-        leaf, n = flat[at], flat[at + 1]
-        leaves.append(leaf)
-        pairs.extend((leaf, up) for up in flat[at + 2:at + 2 + n])
-        at += 2 + n
-    return leaves, pairs
+                    seen.add((page.path[block[-1][0]], 1, _hash(" ".join("".join(t for _, t in block).split()))))
+            contents.append(xxhash.xxh3_64_intdigest(np.array(sorted(seen), dtype=np.int64).tobytes()) - (1 << 63))
+            marks: dict[int, int] = {}
+            for k in range(1, len(page.tag)):
+                marks[page.path[k]] = marks.get(page.path[k], 0) | (page.rank[k] >= 2 and not page.noise[k])
+            out = [(path, 0, int(m), 1) for path, m in marks.items()]
+            out += [(path, 1, style, 1) for path, style in {(page.path[k], page.style[k]): 0 for k in range(1, len(page.tag))}]
+            own = page.features()
+            out += [(path, 2, _hash(x), n) for path, found in own.items() if path for x, n in found.items()]
+            leaves = {page.path[k]: k for block in page.blocks for k, _ in block} | {page.path[k]: k for k, _ in page.links}
+            out += [(path, 3, up, 1) for path, k in leaves.items() if path and own[path] for up in sorted(page.paths(k))]
+            rows.append(np.array(out, dtype=np.int64).reshape(-1, 4).T.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("host_key"), pa.array(contents, pa.int64()), pa.array(rows, pa.binary())],
+                                         names=["host_key", "content", "seen"])
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host_key, node, kind, value, uses): kind 0 is the node (value: whether it marks an article), 1 a style, 2 a feature."""
     for batch in batches:
-        parts = [np.empty((0, 5), dtype=np.int64)]
-        for host, nodes, leaves, features in zip(*(batch.column(c).to_pylist() for c in ("host_key", "nodes", "leaves", "features")), strict=True):
-            known: dict[int, int] = {}
-            styles = np.frombuffer(nodes, dtype=np.int64).reshape(-1, 3)
-            for node, _, marks in styles.tolist():
-                known[node] = known.get(node, 0) | marks
-            own = np.array([(host, node, 0, marks, 1) for node, marks in known.items()], dtype=np.int64).reshape(-1, 5)
-            pairs = np.unique(styles[:, :2], axis=0)
-            place, value, n = np.frombuffer(features, dtype=np.uint32).reshape(3, -1).astype(np.int64)
-            leaf = np.array(_leaf_rows(leaves)[0], dtype=np.int64)
-            stack = lambda node, kind, value, n: np.column_stack(
-                [np.full(len(node), host, dtype=np.int64), node, np.full(len(node), kind, dtype=np.int64), value, n])
-            parts += [own, stack(pairs[:, 0], 1, pairs[:, 1], np.ones(len(pairs), dtype=np.int64)), stack(leaf[place], 2, value, n)]
-        rows = np.concatenate(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2].astype(np.int32)),
-                                          pa.array(rows[:, 3].copy()), pa.array(rows[:, 4].copy())],
+        seen = [np.frombuffer(x, dtype=np.int64).reshape(4, -1) for x in batch.column("seen").to_pylist()]
+        node, kind, value, uses = np.concatenate([np.empty((4, 0), dtype=np.int64), *seen], axis=1)
+        hosts = np.repeat(np.array(batch.column("host_key").to_pylist(), dtype=np.int64), [x.shape[1] for x in seen])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(node), pa.array(kind.astype(np.int32)), pa.array(value), pa.array(uses)],
                                          names=["host_key", "node", "kind", "value", "uses"])
 
 
-def _nesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct rows (host_key, node, up) of a batch: the nodes with text and the nodes that they stand in."""
-    for batch in batches:
-        rows = {(host, *pair) for host, raw in zip(batch.column("host_key").to_pylist(), batch.column("leaves").to_pylist(), strict=True)
-                for pair in _leaf_rows(raw)[1]}
-        flat = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays([pa.array(flat[:, i].copy()) for i in range(3)], names=["host_key", "node", "up"])
-
-
 def importance(pages: DataFrame) -> DataFrame:
     """host_key, node, pages, content, importance, reference of the merged tree's nodes (pages: host_key, html).
 
     Equal contents are one page.  content is null for a node without words and links (its importance takes it as 1);
     reference is the content of the host's articles, or of all its text if it marks none.
     """
-    packed = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, content long, nodes binary, leaves binary, features binary")
-              .groupBy("host_key", "content").agg(F.min(F.struct("nodes", "leaves", "features")).alias("p")).select("host_key", "p.*"))
-    counts = (packed.mapInArrow(_unpack, "host_key long, node long, kind int, value long, uses long")
+    contents = (pages.select("host_key", "html").mapInArrow(_observe, "host_key long, content long, seen binary")
+                .groupBy("host_key", "content").agg(F.min("seen").alias("seen")))
+    counts = (contents.select("host_key", "seen").mapInArrow(_unpack, "host_key long, node long, kind int, value long, uses long")
               .groupBy("host_key", "node", "kind", "value").agg(F.count("*").alias("n"), F.sum("uses").alias("uses")))
-    ln = F.log("n")
-    itself, style, feature = F.col("kind") == 0, F.col("kind") == 1, F.col("kind") == 2
-    nodes = spread(counts.groupBy("host_key", "node").agg(
-        F.sum(F.when(itself, F.col("n"))).alias("pages"), F.max(F.when(itself, F.col("value"))).alias("marks"),
-        F.sum(F.when(style, F.col("n"))).alias("looks_n"), F.sum(F.when(style, F.col("n") * ln)).alias("look_logs"),
-        F.count(F.when(style, 1)).alias("styles"),
-        F.sum(F.when(feature, F.col("uses"))).alias("uses"), F.sum(F.when(feature, F.col("uses") * ln)).alias("use_logs")), "tree-nodes")
-    below = packed.select("host_key", "nodes", "leaves", "features").mapInArrow(_nesting, "host_key long, node long, up long").distinct()
-    below = (below.join(nodes.select("host_key", "node", "uses", "use_logs"), ["host_key", "node"]).groupBy("host_key", F.col("up").alias("node"))
-             .agg(F.sum("uses").alias("all_uses"), F.sum("use_logs").alias("all_logs")))
+    # A few rows per node: itself (with or without the mark), its styles, its features, each node that it stands in.
+    kept = F.when(F.col("kind").isin(0, 3), F.col("value"))
+    parts = spread(counts.groupBy("host_key", "node", "kind", kept.alias("value")).agg(
+        F.count("*").alias("values"), F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("n_logs"),
+        F.sum("uses").alias("uses"), F.sum(F.col("uses") * F.log("n")).alias("use_logs")), "tree-parts")
+    of = lambda kind, c: F.sum(F.when(F.col("kind") == kind, F.col(c)))
+    nodes = parts.filter("kind < 3").groupBy("host_key", "node").agg(
+        of(0, "n").alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("value"))).alias("marks"), of(1, "n").alias("looks_n"),
+        of(1, "n_logs").alias("look_logs"), of(1, "values").alias("styles"), of(2, "uses").alias("uses"), of(2, "use_logs").alias("use_logs"))
+    texts = parts.filter("kind = 2").select("host_key", "node", "uses", "use_logs")
+    below = (parts.filter("kind = 3").select("host_key", "node", F.col("value").alias("up")).join(texts, ["host_key", "node"])
+             .groupBy("host_key", F.col("up").alias("node")).agg(F.sum("uses").alias("all_uses"), F.sum("use_logs").alias("all_logs")))
     unit = F.log("pages")
     looks = (F.log("looks_n") - F.col("look_logs") / F.col("looks_n")) / unit
     share = F.pow(F.lit(GAMMA), "styles")
