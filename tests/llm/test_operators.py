@@ -528,6 +528,10 @@ def test_tree_alone_removes_footers_with_a_changing_sentence(spark):
         by = {r.page_id: r.text for r in style_tree.extract(df, by_names=names).collect()}
         assert all(by[k] == some[k] + "\n" + some[k][::-1] for k in range(40))
         assert all("All rights" in by[100 + k] for k in range(3))
+    # near copies without an article share their headings, which stay
+    near = [(k, f"http://n.org/{k}", f"<body><h1>{some[k // 8]}</h1><p>{some[k]}</p><p>{some[k][::-1]}</p>") for k in range(40)]
+    for r in style_tree.extract(spark.createDataFrame(near, "page_id long, url string, html string")).collect():
+        assert r.text == "\n".join((some[r.page_id // 8], some[r.page_id], some[r.page_id][::-1]))
     # without names a menu that differs per page stays; hidden elements never show
     menu = spark.createDataFrame([(1, "http://m.org/1", "<head><title>t</title></head><nav>menu</nav><p>text</p><script>x</script>")],
                                  "page_id long, url string, html string")

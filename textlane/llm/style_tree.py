@@ -19,7 +19,8 @@ Low branches are removed from each page, and besides those that the markup itsel
 sidebars, notices, adverts, forms or comments: menus and adverts may differ on every page, which no entropy tells from
 content.  A low branch that holds most of the page's text is kept whole: there the host repeats the text itself.  Where a
 page marks its article, text flow inside it (paragraphs, headings, lists) is never removed, so that copied
-articles keep their text, and other branches inside it only by their importance, not by the comparison.
+articles keep their text, and other branches inside it only by their importance, not by the comparison.  The comparison
+never removes a heading by itself.
 
 Counting is by partial aggregation of hashes; no page, host or node is gathered into one task.
 """
@@ -261,6 +262,9 @@ class Page:
         Branches of ``thin`` are low where a main or the body is read.  Without names only the tree decides: the body is
         read without its low branches.
         """
+        if thin:    # near copies share their headings: those go only with the branch that they stand in
+            inside = self.within({k for k, t in enumerate(self.tag) if t in HEADINGS})
+            thin = thin - {self.path[k] for k, heading in enumerate(inside) if heading}
         if not by_names:
             return self._blocks_of(set(), low | thin, False)
         articles, mains = self.ranked(3), self.ranked(2)
