@@ -4,6 +4,8 @@ import datetime as dt
 import hashlib
 import math
 import random
+import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -562,6 +564,62 @@ def test_style_tree_weighs_articles_against_main():
 
 # --- 9 ---
 
+def _wrapped(text, before="", width=70):
+    return "\n".join(before + x for x in textwrap.wrap(text, width))
+
+
+def test_license_texts_and_headers(spark):
+    grant, end = _wrapped(licenses._BSD_GRANT), _wrapped(licenses._BSD_END)
+    owner = "Copyright (c) 1999, Some One\nAll rights reserved.\n\n"
+    rows = {
+        "no title": ("Copyright (c) 2020 Jane Doe\n\n" + _wrapped(licenses._MIT), "MIT"),
+        "bsd 2": (owner + grant + "\n\n" + end, "BSD-2-Clause"),
+        "bsd 3": (owner + grant + "\n\n" + _wrapped(licenses._BSD_NAME) + "\n\n" + end, "BSD-3-Clause"),
+        "gpl header": (_wrapped(licenses._GNU.format("General Public License", 3), "# ") + "\n#\n# other words\nimport os", "GPL-3.0-or-later"),
+        "gpl 2 header": (_wrapped(licenses._GNU.format("General Public License", 2), "// ") + "\nint main() {}", "GPL-2.0-or-later"),
+        "lgpl header": (_wrapped(licenses._GNU.format("Lesser General Public License", 3), " * ") + "\ncode", "LGPL-3.0-or-later"),
+        "apache header": (_wrapped(licenses._APACHE, " * ", 50) + "\n\nint main() {}", "Apache-2.0"),
+        "apache title": ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS", "Apache-2.0"),
+        "two lines": ("# Licensed under the Apache\n# License, Version 2.0\ncode = 1", "Apache-2.0"),
+        "mpl": ("word " * 5000 + "\nSubject to the terms of the Mozilla Public License, v. 2.0.\n" + "more " * 5000, "MPL-2.0"),
+        "reserved": ("code\nAll rights reserved.\nmore", "LicenseRef-Proprietary"),
+        "about": ("the license of nothing\n\nLicense", None), "deep blanks": ("\n" * 20000 + "#\n" * 20000, None),
+    }
+    df = spark.createDataFrame([(f"{k}/x", t, False) for k, (t, _) in rows.items()], "path string, text string, is_license_file boolean")
+    got = {r.path[:-2]: r.license for r in licenses.scan(df).collect()}
+    assert got == {k: want for k, (_, want) in rows.items()}
+
+
+def test_license_scores_against_plain_python(spark):
+    """Every unit of every file scored without bounds, the best kept."""
+    texts = ["x\nReleased under the MIT License.", "# Licensed under the Apache\n# License, Version 2.0\n\ncode", _wrapped(licenses._ISC),
+             "GNU General Public License, version 2 and all rights reserved; the version", "", "BY and NC under 4.0 licensed CC CC"]
+    df = spark.createDataFrame(list(enumerate(texts)), "file long, text string")
+    got = {r.file: (r.license, r.score) for r in licenses.notices(df).collect()}
+    cut = lambda t: [x for x in re.split(licenses.SEPARATOR, t.lower()) if x]
+    templates = [cut(t) for _, t in licenses.TEMPLATES]
+    vocabulary = {t for v in templates for t in v}
+    n = len(texts)
+    idf = {t: math.log((n + 1) / (sum(t in cut(x) for x in texts) + 1)) + 1 for t in vocabulary}
+    vector = lambda w: {t: (1 + math.log(w.count(t))) * idf.get(t, math.log((n + 1) / 2) + 1) for t in w}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = {}
+    for k, text in enumerate(texts):
+        lines = text.split("\n")
+        stop = next((i for i, x in enumerate(lines) if not re.search(licenses.COMMENT, x)), len(lines))
+        found = []
+        for unit in [text, "\n".join(lines[:stop]), *re.split(licenses.BLOCK_END, text), *re.split(licenses._STATEMENT_END, text)]:
+            a = vector(cut(unit))
+            for (name, _), t in zip(licenses.TEMPLATES, templates, strict=True):
+                b = vector(t)
+                score = sum(x * b.get(y, 0) for y, x in a.items()) / (norm(a) * norm(b)) if a else 0
+                if score >= licenses.THRESHOLD:
+                    found.append((name in licenses.FALLBACK, -round(score, 9), name))
+        if found:
+            want[k] = (min(found)[2], pytest.approx(-min(found)[1], abs=2e-9))
+    assert got == want
+
+
 def test_licenses(spark, odd, empty):
     rows = [("a/LICENSE", "Released under the MIT License.", True), ("a/b/c/x.py", "some code", False), ("a/y.py", None, False),
             ("a/b/LICENSE", "Licensed under the Apache License, Version 2.0", True), ("z.py", "nothing", False), (None, "All rights reserved.", False),

@@ -237,32 +237,37 @@ FROM s
 
 _SEP = licenses.SEPARATOR
 _TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+_FALLBACK = ", ".join(f"'{x}'" for x in licenses.FALLBACK)
 _OP9 = f"""
 WITH f AS (
   SELECT doc_id, coalesce(text, '') AS text,
     len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length(x) <= 100 AND regexp_matches(lower(x), 'licen[sc]e|rights reserved'))) > 0 AS is_lic,
     coalesce(source, '_') || '/' || coalesce(lang, '_') || '/' || (doc_id // 1000) AS top FROM documents),
 p AS (SELECT *, top || CASE WHEN is_lic THEN '' ELSE '/' || (doc_id // 100) END AS dir FROM f),
-tpl AS (SELECT k, license, unnest(string_split_regex(lower(txt), '{_SEP}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, license, txt)),
+tpl AS (SELECT * FROM (SELECT k, license, unnest(string_split_regex(lower(txt), '{_SEP}')) AS term FROM (VALUES {_TEMPLATES}) AS t(k, license, txt)) WHERE term <> ''),
 voc AS (SELECT DISTINCT term FROM tpl),
 doc_terms AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '{_SEP}')) AS term FROM p),
 df AS (SELECT term, count(doc_id) AS df FROM voc LEFT JOIN doc_terms USING (term) GROUP BY term),
 n AS (SELECT count(*) AS n FROM p),
 idf AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS w FROM df, n),
-tv AS (SELECT k, license, term, count(*) * any_value(w) AS x FROM tpl JOIN idf USING (term) GROUP BY ALL),
+tv AS (SELECT k, license, term, (1 + ln(count(*))) * any_value(w) AS x FROM tpl JOIN idf USING (term) GROUP BY ALL),
 tu AS (SELECT k, license, term, x / sqrt(sum(x * x) OVER (PARTITION BY k)) AS x FROM tv),
-st AS (SELECT doc_id, row_number() OVER () AS sid, list_filter(string_split_regex(lower(s), '{_SEP}'), lambda x: x <> '') AS terms FROM (
-  SELECT doc_id, unnest(string_split(regexp_replace(text, '[.;!?]([[:space:]]|$)', chr(10) || ' ', 'g'), chr(10))) AS s FROM p)
-  WHERE regexp_matches(lower(s), 'licen|reserved|copyright|cc|version|apache|gnu|mit|public|released|terms')),
+ln AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM p),
+hd AS (SELECT *, list_position(list_transform(l, lambda x: NOT regexp_matches(x, '{licenses.COMMENT}')), true) AS e FROM ln),
+un AS (SELECT doc_id, text AS s FROM p
+  UNION ALL SELECT doc_id, array_to_string(CASE WHEN coalesce(e, 0) = 0 THEN l ELSE l[1:e - 1] END, chr(10)) FROM hd
+  UNION ALL SELECT doc_id, unnest(string_split_regex(text, '{licenses.BLOCK_END}')) FROM p
+  UNION ALL SELECT doc_id, unnest(string_split(regexp_replace(text, '[.;!?]([[:space:]]|$)', chr(10) || ' ', 'g'), chr(10))) FROM p),
+st AS (SELECT doc_id, row_number() OVER () AS sid, list_filter(string_split_regex(lower(s), '{_SEP}'), lambda x: x <> '') AS terms FROM un),
 bag AS (SELECT doc_id, sid, term, count(*) AS tf FROM (SELECT doc_id, sid, unnest(terms) AS term FROM st) GROUP BY ALL),
-wb AS (SELECT bag.*, tf * coalesce(w, (SELECT ln((n + 1) / 2) + 1 FROM n)) AS w FROM bag LEFT JOIN idf USING (term)),
+wb AS (SELECT bag.*, (1 + ln(tf)) * coalesce(w, (SELECT ln((n + 1) / 2) + 1 FROM n)) AS w FROM bag LEFT JOIN idf USING (term)),
 nrm AS (SELECT sid, sqrt(sum(w * w)) AS len FROM wb GROUP BY sid),
 sc AS (SELECT doc_id, sid, license, round(sum(w * x) / any_value(len), 9) AS score
        FROM wb JOIN tu USING (term) JOIN nrm USING (sid) GROUP BY doc_id, sid, k, license),
-own AS (SELECT doc_id, first(license ORDER BY score DESC, license) AS license, max(score) AS score FROM sc
-        WHERE score >= {licenses.THRESHOLD} GROUP BY doc_id),
-given AS (SELECT dir, first(license ORDER BY score DESC, license) AS license, max(score) AS score
-          FROM p JOIN own USING (doc_id) WHERE is_lic GROUP BY dir)
+own AS (SELECT doc_id, license, score, license IN ({_FALLBACK}) AS last FROM sc WHERE score >= {licenses.THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY last, score DESC, license) = 1),
+given AS (SELECT dir, license, score FROM p JOIN own USING (doc_id) WHERE is_lic
+          QUALIFY row_number() OVER (PARTITION BY dir ORDER BY last, score DESC, license) = 1)
 SELECT p.doc_id, p.dir || '/' || p.doc_id AS path, coalesce(own.license, given.license) AS license, coalesce(own.score, given.score) AS score,
        CASE WHEN own.license IS NOT NULL THEN 'notice' WHEN given.license IS NOT NULL THEN 'directory' ELSE 'none' END AS origin,
        CASE WHEN own.license IS NULL THEN given.dir END AS inherited_from
