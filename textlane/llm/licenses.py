@@ -168,9 +168,7 @@ def notices(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thre
            .select("text", F.array_remove(terms(F.col("text")), "").alias("terms")).collect()}
     vocabulary = sorted({t for v in cut.values() for t in v})
     all_known = F.array(*[F.lit(t) for t in vocabulary])
-    # File ids and their few known terms are written, never the texts: they serve the counts and choose the files to read.
-    known = spread(files.select("file", F.array_intersect(terms(text_of()), all_known).alias("known")), "known-terms")
-    weights = term_weights(known, vocabulary)
+    weights = term_weights(files.select(F.array_intersect(terms(text_of()), all_known).alias("known")), vocabulary)
     vectors = unit_vectors([cut[text] for _, text in templates], weights)
 
     # Squares that each term adds to the templates: a unit's cosine is at most the root of the sum over its terms.
@@ -182,8 +180,8 @@ def notices(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thre
         total = F.aggregate(found, none, lambda acc, t: F.zip_with(acc, F.try_element_at(squares, t), lambda a, b: a + b))
         return F.array_max(total) >= threshold * threshold - 1e-9
 
-    some = known.filter(reaches(F.col("known"))).select("file").distinct()
-    candidates = files.join(some, "file", "left_semi")
+    # Terms are cut a second time rather than texts shuffled to a list of files: this filter stays in the scan.
+    candidates = files.filter(reaches(F.array_intersect(terms(text_of()), all_known)))
     rows = units(candidates).filter(reaches(F.array_intersect("terms", all_known)))
     # Distinct units are scored once; the hot ones meet in the partial aggregation.
     rows = spread(rows.withColumn("key", F.md5(F.array_join("terms", " "))), "units")
