@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlane.operators import clean, features as feat, metrics as met, mllib, models, runs, sentences, text
+from textlane.operators import clean, features as feat, metrics as met, mllib, models, runs, sampling, sentences, tagger, text
 from textlane.plans.catalog import (SPLIT_SEED, TEST_SIZE, _events, _r, clean_tokens, docs, docs_by_id, flagship,
                                     lang_split, tfidf_features)
 from textlane.session import fresh_path, materialize
@@ -150,5 +150,32 @@ def t2_sentences(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.max(size).alias("longest"), F.sum(size).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (s1_json_scan, t2_abbreviations, t2_sentences, s6_model_roundtrip, s11_run_log, t2_treebank, t3_stopword_dir, t5_lexicon_tags,
+def _shape_tagged(spark: SparkSession, d: str) -> DataFrame:
+    """Every token of every document with its split and its word-shape tag: the tables hold no tags to learn from."""
+    from textlane.operators.text_chain import tag_expr
+    t = sampling.split_by_hash(text.tokenize(docs_by_id(spark, d, "lang", "text")), "doc_id")
+    return text.explode_tokens(t, keep=("lang", "split")).withColumn("tag", tag_expr(F.col("term")))
+
+
+def t5_hmm_model(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the Markov tagger trained on the train documents: neighbouring tags, (term, tag), (suffix, tag)."""
+    tagged = _shape_tagged(spark, d).filter(F.col("split") == "train")
+    counts = materialize(tagger.term_tags(tagged), "term-tags")
+    rows = lambda df, kind, a: df.select(F.lit(kind).alias("kind"), F.col(a).alias("item"), "tag", "n")
+    return (rows(tagger.tag_pairs(tagged), "pair", "previous").unionByName(rows(counts, "term", "term"))
+            .unionByName(rows(tagger.suffix_tags(counts), "suffix", "suffix")))
+
+
+def t5_hmm_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Test documents tagged by the trained Markov tagger: tokens by language, word-shape tag and trained tag."""
+    tagged = materialize(_shape_tagged(spark, d), "shape-tagged")
+    model = tagger.fit(tagged.filter(F.col("split") == "train"))
+    model |= {k: materialize(model[k], f"tagger-{k}") for k in ("terms", "suffixes")}
+    test = tagged.filter(F.col("split") == "test").withColumnRenamed("tag", "shape_tag")
+    got = tagger.tag(test, model).select(F.col("doc_id").alias("_k"), F.col("pos").alias("_p"), "tag")
+    joined = test.join(got, F.col("doc_id").eqNullSafe(F.col("_k")) & (F.col("pos") == F.col("_p")))
+    return joined.groupBy("lang", "shape_tag", "tag").agg(F.count(F.lit(1)).alias("n_tokens"))
+
+
+QUERIES = {f.__name__: f for f in (s1_json_scan, t2_abbreviations, t2_sentences, s6_model_roundtrip, s11_run_log, t2_treebank, t3_stopword_dir, t5_lexicon_tags, t5_hmm_model, t5_hmm_tags,
                                   f2_tfidf_train, e8_registry_eval, r8_run_status)}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from textlane.plans.oracle import FEAT, LANG_SPLIT, NB_PIPE_LANG, STOP, TF, TOK, build, tickets_sql, with_
+from textlane.functions.expr import WORD_PATTERN
+from textlane.operators.tagger import RARE, SUFFIX
+from textlane.operators.text_chain import NOUN_TAG, TAG_RULES
+from textlane.plans.oracle import FEAT, LANG_SPLIT, NB_PIPE_LANG, SEED, STOP, TEST, TF, TOK, build, tickets_sql, unit_hash, with_
 
 #: The token rule with punctuation and contractions apart, as DuckDB writes it.
 _APART = (r"regexp_extract_all(regexp_replace(regexp_replace(lower(text), '([\p{L}\p{N}_])n''t([^\p{L}\p{N}_]|$)', "
@@ -54,6 +57,17 @@ def build_flows() -> dict[str, str]:
                             "(SELECT count(*) FROM documents d WHERE d.lang = tok.lang)) "
                             "SELECT lang, count(*) AS n_tokens, count(DISTINCT term) AS n_terms FROM tok "
                             "WHERE (lang, term) NOT IN (SELECT (lang, term) FROM stop) GROUP BY lang")
+    shape = "CASE " + " ".join(f"WHEN regexp_matches(term, '{p}') THEN '{t}'" for p, t in TAG_RULES) + f" ELSE '{NOUN_TAG}' END"
+    q["t5_hmm_model"] = with_(
+        f"l AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD_PATTERN}') AS l FROM documents WHERE {unit_hash('doc_id', SEED)} >= {TEST})",
+        "t AS (SELECT doc_id, unnest(l) AS term, generate_subscripts(l, 1) AS pos FROM l)",
+        f"g AS (SELECT *, {shape} AS tag FROM t)",
+        "p AS (SELECT coalesce(lag(tag) OVER (PARTITION BY doc_id ORDER BY pos), '') AS item, tag FROM g)",
+        "c AS (SELECT term AS item, tag, count(*) AS n FROM g GROUP BY ALL)",
+        f"s AS (SELECT item, tag, n, unnest(range(0, least(length(item), {SUFFIX}) + 1)) AS k FROM c "
+        f"WHERE item IN (SELECT item FROM c GROUP BY item HAVING sum(n) <= {RARE}))",
+    ) + ("SELECT 'pair' AS kind, item, tag, count(*) AS n FROM p GROUP BY ALL UNION ALL SELECT 'term', item, tag, n FROM c "
+         "UNION ALL SELECT 'suffix', right(item, k), tag, sum(n)::BIGINT FROM s GROUP BY ALL")
     q["t5_lexicon_tags"] = (
         with_(TOK[0], f"ctok AS (SELECT * FROM tok WHERE term NOT IN ({STOP}))",
               r"lex AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM benchmark)") +
