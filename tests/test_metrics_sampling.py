@@ -90,3 +90,19 @@ def test_grouped_rank_matches_plain_rank(spark):
     for g in (0, 1):
         ordered = sorted(o for (gg, o) in got if gg == g)
         assert [got[(g, o)] for o in ordered] == list(range(len(ordered)))
+
+
+def test_smote_neighbours_in_blocks_with_many_copies(spark, monkeypatch):
+    from textlane.operators import smote
+    monkeypatch.setattr(smote, "BLOCK", 4)
+    points = [(f"c{i:02d}", "a", [1.0, 2.0]) for i in range(12)] + [(f"p{i}", "a", [float(i), -float(i * i)]) for i in range(7)]
+    points += [("q0", "b", [1.0, 2.0]), ("q1", "b", [1.5, 2.0]), ("bad", "b", [1.0, None]), ("none", "b", None)]
+    got = smote.nearest_neighbours(spark.createDataFrame(points, "id string, label string, vec array<double>"), k=3).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r["id"], r["nn_rank"])):
+        found.setdefault(r["id"], []).append((r["nn_id"], r["nn_vec"]))
+    vectors = {i: (c, v) for i, c, v in points if v is not None and None not in v}
+    for i, (c, v) in vectors.items():
+        others = sorted((sum((x - y) ** 2 for x, y in zip(v, w)), j, w) for j, (d, w) in vectors.items() if d == c and j != i)
+        assert found.pop(i) == [(j, w) for _, j, w in others[:3]]
+    assert not found
