@@ -136,6 +136,24 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.n_links for r in out} == dict(enumerate(brute_classes(big)[1]))
 
 
+def test_two_blocks_of_near_copies_give_one_edge():
+    import numpy as np
+    import pyarrow as pa
+
+    def edges(places, a, b):
+        rows = [(k, 0 if k < 20 else 1) for k in places]
+        sig = lambda k: np.full(jaccard_join.TOKENS, 7 if k % 20 < 18 else k, dtype=np.uint16).tobytes()
+        batch = pa.RecordBatch.from_pylist([{"path": 1, "a": a, "b": b, "own": own, "set_id": k, "sig": sig(k)} for k, own in rows])
+        return [(r["u"], r["v"]) for out in jaccard_join._near(0.8)(iter([batch])) for r in out.to_pylist()]
+
+    inner = edges(range(20), 0, 0) + edges(range(20, 40), 1, 1)
+    assert len(inner) == 34 and len(edges(range(40), 0, 1)) == 1
+    seen = {0}
+    for _ in range(40):
+        seen |= {x for e in inner + edges(range(40), 0, 1) if seen & set(e) for x in e}
+    assert seen == {k for k in range(40) if k % 20 < 18}
+
+
 def test_jaccard_join_odd_rows(odd, empty):
     out = jaccard_join.jaccard_join(odd).collect()
     assert len(out) == odd.count() and jaccard_join.jaccard_join(empty).count() == 0

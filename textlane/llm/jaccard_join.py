@@ -190,7 +190,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
 
 
 def _near(threshold: float):
-    """Buckets -> spanning edges of the pairs whose signatures agree well enough."""
+    """Buckets -> spanning edges of the pairs whose signatures agree well enough.
+
+    Two blocks of a bucket give only the edges that connect what each block's own comparison leaves apart: nearly equal
+    sets have one edge per pair of blocks, not one per set.
+    """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = int(np.floor((threshold - SLACK) * TOKENS))
         low, high, seen = [], [], None
@@ -198,20 +202,27 @@ def _near(threshold: float):
         def edges() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["u", "v"])
 
+        def joined(sigs: np.ndarray, part: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
+            """Pairs that connect parts (part: each row's, changed here)."""
+            for k, x in enumerate(left):
+                others = right[k + 1:] if left is right else right
+                others = others[part[others] != part[x]]
+                for y in others[(sigs[others] == sigs[x]).sum(axis=1) >= least]:
+                    if part[x] != part[y]:
+                        part[part == part[y]] = part[x]
+                        yield int(x), int(y)
+
         for table, rows, left, right in _groups(batches, ["path", "a", "b"]):
             if table is not seen:
                 seen, every, ids = table, _matrix(table.column("sig")), table.column("set_id").to_numpy()
-            sigs, forest = every[rows], Forest(len(rows))
-            for k, x in enumerate(left):
-                others = right[k + 1:] if left is right else right
-                if len(others):
-                    for y in others[(sigs[others] == sigs[x]).sum(axis=1) >= least]:
-                        forest.join(int(x), int(y))
-            for x in range(len(rows)):
-                r = forest.root(x)
-                if r != x:
-                    low.append(ids[rows[r]])
-                    high.append(ids[rows[x]])
+            sigs, part = every[rows], np.arange(len(rows))
+            if left is not right:
+                for own in (left, right):       # their edges come from the comparison of the block with itself
+                    for _ in joined(sigs, part, own, own):
+                        pass
+            for x, y in joined(sigs, part, left, right):
+                low.append(ids[rows[x]])
+                high.append(ids[rows[y]])
             if len(low) > 10_000:
                 yield edges()
                 low, high = [], []
