@@ -51,3 +51,17 @@ def test_run_status(spark):
                                "run int, key string, ts int")
     got = runs.run_status(ev, "run", "key", ["ts"], ("purchase",), ("error",))
     assert {r.run: r.status for r in got.collect()} == {1: "FAILED", 2: "FINISHED", 3: "RUNNING", 4: "RUNNING"}
+
+
+def test_run_store_scan_opens_its_many_files_in_few_tasks(spark, tmp_path):
+    for r in range(20):
+        (tmp_path / "0" / f"r{r}" / "metrics").mkdir(parents=True)
+        for k in range(10):
+            (tmp_path / "0" / f"r{r}" / "metrics" / f"m{k}").write_text(f"{r} {k}.5 1\n")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    m = files.scan_run_metrics(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+    assert m.select(F.spark_partition_id()).distinct().count() <= 4     # 200 files, 7 tasks by the default cost
+    assert m.rdd.getNumPartitions() <= 4
+    assert {(r.experiment_id, r.run_id, r.key, r.ts_ms, r.value, r.step) for r in m.collect()} == {
+        ("0", f"r{r}", f"m{k}", r, k + 0.5, 1) for r in range(20) for k in range(10)}
