@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -144,6 +145,56 @@ def predict_naive_bayes(features: DataFrame, docs: DataFrame, model: NaiveBayesM
     return scores_to_predictions(naive_bayes_scores(features, docs, model, key, weight), key, digits)
 
 
+def _wide_grid(features: DataFrame, lab: DataFrame, fl: DataFrame, vocab_size: Column | int, alphas: list[float], k: int, classes: list,
+               docs_of: dict, key: str, fold: str, weight: str) -> DataFrame:
+    """``naive_bayes_grid`` with the sums of every (fold, class) in columns of the term's row."""
+    # a scalar subquery can't stand where arrays are searched, so its one number is asked for
+    size = vocab_size if isinstance(vocab_size, int) else features.sparkSession.range(1).select(vocab_size).first()[0]
+    places, zero = [(f, c) for f in range(k) for c in range(len(classes))], F.lit(0.0)
+    known = features.select(key, "term", weight).join(lab, key).join(fl, key)
+    held_sum = {(f, c): F.coalesce(F.sum(F.when((F.col(fold) == f) & (F.col("label") == F.lit(classes[c])), F.col(weight))), zero)
+                for f, c in places}
+    counts = known.groupBy("term").agg(*[held_sum[p].alias(f"_s{p[0]}_{p[1]}") for p in places])
+    # the training sums of a held-out fold: all folds' minus its own
+    every = {c: sum((F.col(f"_s{f}_{c}") for f in range(1, k)), F.col(f"_s0_{c}")) for c in range(len(classes))}
+    counts = materialize(counts.select("term", *[(every[c] - F.col(f"_s{f}_{c}")).alias(f"_n{f}_{c}") for f, c in places]), "nb-grid-counts")
+    row = counts.agg(*[F.sum(F.when(F.col(f"_n{f}_{c}") > 0, F.col(f"_n{f}_{c}"))).alias(f"_n{f}_{c}") for f, c in places]).first()
+    total = {(f, c): float(row[f"_n{f}_{c}"] or 0.0) for f, c in places}
+    n_docs = {(f, c): sum(docs_of.get((g, classes[c]), 0) for g in range(k) if g != f) for f, c in places}
+
+    def of_fold(values: list[Column]) -> Column:
+        return F.element_at(F.array(*values), F.col(fold) + 1)
+
+    def default(f: int, c: int, a: float) -> Column:
+        return F.lit(math.log(a / (total[f, c] + a * size)) if size else 0.0)
+
+    settings = [(i, c, float(a)) for i, a in enumerate(alphas) for c in range(len(classes))]
+    joined = features.select(key, "term", weight).join(fl, key).join(counts, "term", "left")
+    joined = joined.select(key, fold, weight, *[of_fold([F.col(f"_n{f}_{c}") for f in range(k)]).alias(f"_n{c}") for c in range(len(classes))])
+    delta = {(i, c): F.when(F.col(f"_n{c}") > 0, F.log((F.col(f"_n{c}") + a) / (of_fold([F.lit(total[f, c]) for f in range(k)]) + a * size))
+                            - of_fold([default(f, c, a) for f in range(k)])) for i, c, a in settings}
+    sums = joined.groupBy(key, fold).agg(F.sum(weight).alias("_sx"), *[F.sum(F.col(weight) * delta[i, c]).alias(f"_d{i}_{c}")
+                                                                      for i, c, _ in settings])
+    all_docs = [sum(n_docs[f, c] for c in range(len(classes))) for f in range(k)]
+    no_prior = F.lit(None).cast("double")       # a class without training rows in a fold is no candidate there
+
+    def prior(f: int, c: int) -> Column:
+        return F.lit(math.log(n_docs[f, c] / all_docs[f])) if n_docs[f, c] else no_prior
+
+    def score(i: int, c: int, a: float) -> Column:
+        base = of_fold([prior(f, c) for f in range(k)]) + of_fold([default(f, c, a) for f in range(k)]) * F.coalesce("_sx", zero)
+        return F.col("_n") * base + F.coalesce(f"_d{i}_{c}", zero)
+
+    def best(i: int, a: float) -> Column:
+        found = F.array(*[F.struct((-score(i, c, a)).alias("ns"), F.lit(classes[c]).alias("label")) for c in range(len(classes))])
+        return F.struct(F.lit(float(a)).alias("alpha"), F.array_min(F.filter(found, lambda e: e["ns"].isNotNull()))["label"].alias("label"))
+
+    asked = fl.groupBy(key, fold).agg(F.count(F.lit(1)).alias("_n")).join(sums, [key, fold], "left")
+    predicted = asked.select(key, fold, F.explode(F.array(*[best(i, a) for i, a in enumerate(alphas)])).alias("_b"))
+    return (predicted.filter(F.col("_b.label").isNotNull()).join(lab, key).groupBy(F.col("_b.alpha").alias("alpha"), fold)
+            .agg(F.avg((F.col("_b.label") == F.col("label")).cast("double")).alias("accuracy")))
+
+
 def naive_bayes_grid(features: DataFrame, labels: DataFrame, folds: DataFrame, vocab_size: Column,
                      alphas: list[float], k: int, key: str = "doc_id", label: str = "label",
                      fold: str = "fold", weight: str = "w") -> DataFrame:
@@ -151,12 +202,18 @@ def naive_bayes_grid(features: DataFrame, labels: DataFrame, folds: DataFrame, v
 
     Class-term sums are computed once per fold; the training sums for a
     held-out fold are the total minus that fold's part.  Alphas only change
-    the smoothing, so they are a literal array exploded onto the small
-    per-class rows.  ``folds`` holds ``(key, fold)`` with folds ``0..k-1``.
+    the smoothing.  With few classes all of it stands in columns: one row per
+    term, joined once with the features, and one sum per document.  With many
+    they are a literal array exploded onto the per-class rows.  ``folds`` holds ``(key, fold)`` with folds ``0..k-1``.
     Returns ``(alpha, fold, accuracy)``.
     """
     lab = labels.select(key, F.col(label).alias("label"))
     fl = folds.select(key, fold)
+    docs_of = {(r[fold], r["label"]): r["d"] for r in lab.join(fl, key).groupBy(fold, "label").agg(F.count(F.lit(1)).alias("d"))
+               .orderBy(fold, "label").limit(WIDE_CLASSES + 1).collect()}
+    classes = sorted({c for _, c in docs_of})
+    if 0 < len(classes) * max(k, len(alphas)) <= WIDE_CLASSES >= len(docs_of):
+        return _wide_grid(features, lab, fl, vocab_size, alphas, k, classes, docs_of, key, fold, weight)
     fold_ids = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold)
     alpha_arr = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
     by_fold = (features.join(lab, key).join(fl, key)

@@ -346,15 +346,16 @@ def l1_pipeline_nb(spark, d):
     """Clean -> processed text -> TF-IDF -> 0.2 split (seed 37) -> NB -> per-split metrics."""
     pt = processed_text(docs_by_id(spark, d, "text"))
     long = text.explode_tokens(pt.select("doc_id", token_expr(F.col("processed_text")).alias("tokens")))
-    tf = feat.term_counts(long)
-    vocab = feat.vocabulary(tf)
+    tf = materialize(feat.term_counts(long), "tf")
+    vocab = materialize(feat.vocabulary(tf), "vocabulary")
     n = feat.doc_count(docs(spark, d))
     x = feat.tfidf(tf, feat.with_idf(vocab, n))
     x = materialize(x, "tfidf")
-    v = int(x.select(F.countDistinct("term")).first()[0])
+    v = vocab.count()
     sp = sampling.split_by_hash(docs(spark, d).select("doc_id", F.col("lang").alias("y")), "doc_id", 0.2, 37)
     model = models.fit_naive_bayes(x, sp.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label")), v)
     pred = models.predict_naive_bayes(x, sp.select("doc_id"), model).join(sp, "doc_id")
+    pred = materialize(pred.select("doc_id", "split", "y", "p"), "nb-pred")      # read by both metrics
     w = met.weighted_prf(pred, by=("split",))
     a = met.accuracy(pred, by=("split",))
     return a.join(w, "split").select("split", _r("accuracy").alias("accuracy"), _r("precision").alias("precision"),
