@@ -103,3 +103,35 @@ def test_counts_weigh_confusion_rows(spark):
     counted = spark.createDataFrame(rows, "y string, p string, n long")
     plain = spark.createDataFrame([(y, p) for y, p, n in rows for _ in range(n)], "y string, p string")
     assert met.f1_micro_macro(counted, n="n").first() == met.f1_micro_macro(plain).first()
+
+
+def _small_corpus(spark):
+    docs = ["a b b", "a c", "d d e", "e f", "a b c", "d f f", "b c c", "e d"]
+    x = feat.tfidf(_tf(spark, docs), feat.with_idf(feat.vocabulary(_tf(spark, docs)), F.lit(float(len(docs)))))
+    labels = spark.createDataFrame([(i, "x" if i in (0, 1, 4, 6) else "y") for i in range(8)], "doc_id int, label string")
+    return x, labels
+
+
+def test_nb_scores_of_few_and_many_classes_agree(spark, monkeypatch):
+    x, labels = _small_corpus(spark)
+    asked = labels.select("doc_id").unionByName(spark.createDataFrame([(0,), (99,)], "doc_id int"))   # one twice, one without terms
+    model = models.fit_naive_bayes(x, labels.filter("doc_id < 6"), 6)
+    got = {}
+    for limit in (models.WIDE_CLASSES, 0):
+        monkeypatch.setattr(models, "WIDE_CLASSES", limit)
+        rows = models.naive_bayes_scores(x, asked, model).collect()
+        got[limit] = {(r.doc_id, r.label): round(r.score, 9) for r in rows}
+        assert len(rows) == len(got[limit]) == 18
+    wide, long = got.values()
+    assert wide == long
+
+
+def test_nb_grid_of_few_and_many_classes_agree(spark, monkeypatch):
+    x, labels = _small_corpus(spark)
+    folds = labels.select("doc_id", (F.col("doc_id") % 3).alias("fold"))
+    got = []
+    for limit in (models.WIDE_CLASSES, 0):
+        monkeypatch.setattr(models, "WIDE_CLASSES", limit)
+        rows = models.naive_bayes_grid(x, labels, folds, x.select(F.countDistinct("term")).scalar(), [1.0, 0.01], 3).collect()
+        got.append({(r.alpha, r.fold): round(r.accuracy, 9) for r in rows})
+    assert got[0] == got[1] and len(got[0]) == 6

@@ -65,3 +65,17 @@ def test_run_store_scan_opens_its_many_files_in_few_tasks(spark, tmp_path):
     assert m.rdd.getNumPartitions() <= 4
     assert {(r.experiment_id, r.run_id, r.key, r.ts_ms, r.value, r.step) for r in m.collect()} == {
         ("0", f"r{r}", f"m{k}", r, k + 0.5, 1) for r in range(20) for k in range(10)}
+
+
+def test_model_roundtrip_beyond_the_largest_vector(spark, tmp_path, monkeypatch):
+    from textlane.operators import mllib
+    from textlane.plans import catalog_flows
+    texts = ["red apples fall", "green apples and green pears", "", "  ", "the", "pears fall"]
+    rows = [(i, t, "en", "web", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    vector = {tuple(r) for r in catalog_flows.s6_model_roundtrip(spark, str(tmp_path)).filter("n_terms > 0").collect()}
+    monkeypatch.setattr(mllib, "MAX_VECTOR_TERMS", 3)
+    table = catalog_flows.s6_model_roundtrip(spark, str(tmp_path))
+    assert {tuple(r) for r in table.filter("n_terms > 0").collect()} == vector and len(vector) == 3
+    assert {(r.n_terms, r.w_sum) for r in table.filter("n_terms = 0").collect()} == {(0, 0.0)} and table.count() == 6

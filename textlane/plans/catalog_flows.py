@@ -31,11 +31,22 @@ def s1_json_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s6_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """TF-IDF vector model saved, loaded and applied: terms and sum of weights of every document."""
+    """TF-IDF vector model saved, loaded and applied: terms and sum of weights of every document.
+
+    Up to ``MAX_VECTOR_TERMS`` terms the model is a vector; beyond, a table, applied by joins.
+    """
     toks = text.remove_stopwords(text.tokenize(docs_by_id(spark, d, "text")))
     tf = materialize(feat.term_counts(text.explode_tokens(toks)), "tf")
-    vocab = feat.with_idf(feat.vocabulary(tf), feat.doc_count(docs(spark, d)))
+    vocab = materialize(feat.with_idf(feat.vocabulary(tf), feat.doc_count(docs(spark, d))), "vocabulary")
     path = files.versioned_path(fresh_path(spark, "vectorizer"), "tfidf", 1)
+    if vocab.count() > mllib.MAX_VECTOR_TERMS:
+        mllib.TableVectorizer(vocab).save(path)
+        rows = materialize(toks.select(F.monotonically_increasing_id().alias("row"), "doc_id", "tokens"), "tokens")
+        x = mllib.TableVectorizer.load(spark, path).transform(rows, "row")
+        sums = x.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"))
+        out = rows.select("row", "doc_id").join(sums, "row", "left")
+        return out.select("doc_id", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_terms"),
+                          _r(F.coalesce("w", F.lit(0.0))).alias("w_sum"))
     mllib.save_model(mllib.tfidf_vectorizer(vocab), path)
     rows = fresh_path(spark, "vectors")
     mllib.load_model(path).transform(toks).select("doc_id", "features").write.parquet(rows)
