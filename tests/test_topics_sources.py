@@ -60,3 +60,14 @@ def test_csv_roundtrip_keeps_newlines_and_quotes(spark):
 def test_flatten_nested(spark):
     df = spark.createDataFrame([((("a", "b"), "c"),)], "s struct<x: struct<p: string, q: string>, y: string>")
     assert files.flatten(df).columns == ["s.x.p", "s.x.q", "s.y"]
+
+
+def test_features_of_a_topic_step_read_the_texts_once(spark, tmp_path):
+    from textlane.plans import catalog
+    rows = [(1, "Alpha beta beta gamma"), (2, "beta gamma delta"), (3, None), (4, "delta alpha beta"), (5, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    x, _ = catalog.bounded_tfidf(spark, str(tmp_path), materialize=True)
+    assert "regexp_extract_all" not in x._jdf.queryExecution().executedPlan().toString()
+    plain, _ = catalog.bounded_tfidf(spark, str(tmp_path))
+    read = lambda df: sorted((r.doc_id, r.term, r.tf, round(r.w, 9)) for r in df.collect())
+    assert read(x) == read(plain) and len(read(x)) > 5
