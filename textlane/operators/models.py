@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlane.operators.features import tfidf
 from textlane.session import materialize
 
 
@@ -48,6 +49,11 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column |
     # the one pass over the features; classes, priors and thetas all read it
     counts = materialize(features.join(lab, key)
                          .groupBy("label", "term").agg(F.sum(weight).alias("n_ct")), "nb-counts")
+    return naive_bayes_from_sums(counts, lab, vocab_size, alpha)
+
+
+def naive_bayes_from_sums(counts: DataFrame, lab: DataFrame, vocab_size: Column | int, alpha: float = 1.0) -> NaiveBayesModel:
+    """The model of the weight sums ``(label, term, n_ct)`` of training rows ``(key, label)``."""
     per_class = counts.groupBy("label").agg(F.sum("n_ct").alias("total"))
     docs = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
     n = lab.select(F.count(F.lit(1))).scalar()
@@ -64,6 +70,20 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocab_size: Column |
     return NaiveBayesModel(classes, terms, alpha)
 
 
+def class_sums(tf: DataFrame, idf: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:
+    """``(label, term, n_ct)``: what ``fit_naive_bayes`` sums over unit-length TF-IDF rows, from their counts.
+
+    A weight is ``tf * idf / norm``: norms are one number per row, idf is one per term, so the long table of weights is
+    never made; only counts meet the terms (for the norms) and the rows.
+    """
+    raw = F.col("tf") * F.col("idf")
+    norms = tf.join(idf.select("term", "idf"), "term").groupBy(key).agg(F.sqrt(F.sum(raw * raw)).alias("_norm"))
+    rows = labels.select(key, F.col(label).alias("label")).join(norms, key)
+    shares = tf.join(rows, key).groupBy("label", "term").agg(F.sum(F.col("tf") / F.col("_norm")).alias("_s"))
+    return materialize(shares.join(idf.select("term", "idf"), "term").select("label", "term", (F.col("_s") * F.col("idf")).alias("n_ct")),
+                       "nb-counts")
+
+
 MAX_CLASSES = 100_000
 #: Up to so many classes a term's numbers stand in columns of one row when documents are scored.
 WIDE_CLASSES = 64
@@ -107,12 +127,20 @@ def naive_bayes_scores(features: DataFrame, docs: DataFrame, model: NaiveBayesMo
     return base.unionByName(seen).groupBy(key, "label").agg(F.sum("score").alias("score"))
 
 
+def _term_columns(model: NaiveBayesModel, rows: list, names: list[str]) -> DataFrame:
+    """One row per term with the delta of every class in a column."""
+    return model.terms.groupBy("term").agg(
+        *[F.sum(F.when(F.col("label") == F.lit(r["label"]), F.col("delta"))).alias(name) for r, name in zip(rows, names)])
+
+
 def _wide_scores(features: DataFrame, docs: DataFrame, model: NaiveBayesModel, rows: list, key: str, weight: str) -> DataFrame:
     deltas = [f"_d{c}" for c in range(len(rows))]
-    per_term = model.terms.groupBy("term").agg(
-        *[F.sum(F.when(F.col("label") == F.lit(r["label"]), F.col("delta"))).alias(name) for r, name in zip(rows, deltas)])
-    sums = (features.select(key, "term", weight).join(per_term, "term", "left").groupBy(key)
+    sums = (features.select(key, "term", weight).join(_term_columns(model, rows, deltas), "term", "left").groupBy(key)
             .agg(F.sum(weight).alias("_sx"), *[F.sum(F.col(weight) * F.col(name)).alias(name) for name in deltas]))
+    return _class_scores(sums, docs, rows, deltas, key)
+
+
+def _class_scores(sums: DataFrame, docs: DataFrame, rows: list, deltas: list[str], key: str) -> DataFrame:
     zero = F.lit(0.0)
     of_class = [F.struct(F.lit(r["label"]).alias("label"),
                          (F.col("_n") * (F.lit(float(r["log_prior"])) + F.lit(float(r["default_log_theta"])) * F.coalesce("_sx", zero))
@@ -122,6 +150,24 @@ def _wide_scores(features: DataFrame, docs: DataFrame, model: NaiveBayesModel, r
     return asked.join(sums, key, "left").select(key, F.explode(F.array(*of_class)).alias("_c")).select(key, "_c.label", "_c.score")
 
 
+def predict_from_counts(tf: DataFrame, idf: DataFrame, docs: DataFrame, model: NaiveBayesModel, key: str = "doc_id",
+                        digits: int | None = None) -> DataFrame:
+    """``predict_naive_bayes`` on unit-length TF-IDF rows, from their counts: the norm is summed beside the scores.
+
+    Counts are joined once with one row per term and summed once per document.
+    """
+    rows = class_rows(model)
+    if not 0 < len(rows) <= WIDE_CLASSES:
+        return predict_naive_bayes(tfidf(tf, idf, key), docs, model, key, "w", digits)
+    deltas = [f"_d{c}" for c in range(len(rows))]
+    per_term = idf.select("term", "idf").join(_term_columns(model, rows, deltas), "term", "left")
+    raw = F.col("tf") * F.col("idf")
+    sums = (tf.join(per_term, "term").groupBy(key)
+            .agg(F.sqrt(F.sum(raw * raw)).alias("_norm"), F.sum(raw).alias("_sx"), *[F.sum(raw * F.col(name)).alias(name) for name in deltas]))
+    sums = sums.select(key, *[(F.col(c) / F.col("_norm")).alias(c) for c in ("_sx", *deltas)])
+    return scores_to_predictions(_class_scores(sums, docs, rows, deltas, key), key, digits)
+
+
 def scores_to_predictions(scores: DataFrame, key: str = "doc_id", digits: int | None = None) -> DataFrame:
     """``(key, p, proba)``: argmax (smallest label on ties) and softmax probabilities.
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlane.operators import clean, features as feat, metrics as met, mllib, models, runs, sampling, sentences, tagger, text
-from textlane.plans.catalog import (SPLIT_SEED, TEST_SIZE, _events, _r, clean_tokens, docs, docs_by_id, flagship,
-                                    lang_split, tfidf_features)
+from textlane.plans.catalog import (SPLIT_SEED, TEST_SIZE, _events, _r, clean_tokens, count_features, docs, docs_by_id,
+                                    flagship, lang_split)
 from textlane.session import fresh_path, materialize
 from textlane.sources import files
 
@@ -127,18 +127,19 @@ def train_tfidf(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def e8_registry_eval(spark: SparkSession, d: str) -> DataFrame:
     """Three models registered with a stage each; the latest in production (whatever its case) is loaded and evaluated."""
-    x, _, _, v = tfidf_features(spark, d, materialize=True)
+    tf, idf, v = count_features(spark, d)
     split = materialize(lang_split(spark, d), "split")
     train = split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label"))
+    sums = models.class_sums(tf, idf, train)     # the same for every alpha
     base = fresh_path(spark, "registry")
     for version, (alpha, _) in REGISTERED.items():
-        models.fit_naive_bayes(x, train, v, alpha).write(files.versioned_path(base, "nb", version))
+        models.naive_bayes_from_sums(sums, train, v, alpha).write(files.versioned_path(base, "nb", version))
     log = spark.createDataFrame([("nb", k, stage) for k, (_, stage) in REGISTERED.items()], "name string, version int, stage string")
     latest = runs.latest_versions(log.withColumn("stage", F.lower("stage")), "name", "stage")
     chosen = latest.filter(F.col("stage") == "production").first()   # one row per model and stage
     model = models.NaiveBayesModel.load(spark, files.versioned_path(base, chosen["name"], chosen["latest_version"]))
     test = split.filter(F.col("split") == "test")
-    pred = models.predict_naive_bayes(x, test.select("doc_id"), model).select("doc_id", "p").join(test, "doc_id")
+    pred = models.predict_from_counts(tf, idf, test.select("doc_id"), model).select("doc_id", "p").join(test, "doc_id")
     return met.accuracy(pred).select(F.lit(chosen["latest_version"]).alias("version"), _r("accuracy").alias("accuracy"))
 
 
