@@ -79,3 +79,28 @@ def test_model_roundtrip_beyond_the_largest_vector(spark, tmp_path, monkeypatch)
     table = catalog_flows.s6_model_roundtrip(spark, str(tmp_path))
     assert {tuple(r) for r in table.filter("n_terms > 0").collect()} == vector and len(vector) == 3
     assert {(r.n_terms, r.w_sum) for r in table.filter("n_terms = 0").collect()} == {(0, 0.0)} and table.count() == 6
+
+
+def test_file_per_group_has_the_folders_of_a_partitioned_write(spark, tmp_path):
+    rows = [("0", "1", "view", "a 1"), ("0", "1", "view", "b 2"), ("0", "2", "x/y=z%", "ü"), ("0", None, "view", "n"), ("0", "3", "", "e")]
+    df = spark.createDataFrame(rows, "exp string, run string, key string, line string")
+    files.write_file_per_group(df, f"file:{tmp_path}/own", ("exp", "run", "key"))
+    df.write.partitionBy("exp", "run", "key").text(f"{tmp_path}/spark")
+
+    def found(name):
+        return {str(f.parent.relative_to(tmp_path / name)): sorted(f.read_text().splitlines()) for f in (tmp_path / name).rglob("*.txt")}
+
+    assert found("own") == found("spark") and len(list((tmp_path / "own").rglob("*.txt"))) == 4
+
+
+def test_run_store_lines_are_the_same_whole_and_by_line(spark, tmp_path, monkeypatch):
+    import gzip
+    for k, text_ in enumerate(["1 2.5 3\n4 5 6", "7 8 9\r\n\r\n", "﻿1 1 1\n"]):
+        (tmp_path / f"e/r{k}/metrics").mkdir(parents=True)
+        (tmp_path / f"e/r{k}/metrics/m").write_bytes(text_.encode())
+    (tmp_path / "e/r0/metrics/z.gz").write_bytes(gzip.compress(b"2 2 2\n"))
+    want = {("r0", "m", 1, 2.5, 3), ("r0", "m", 4, 5.0, 6), ("r1", "m", 7, 8.0, 9), ("r2", "m", 1, 1.0, 1), ("r0", "z.gz", 2, 2.0, 2)}
+    for whole in (files.WHOLE_BYTES, 8, 0):
+        monkeypatch.setattr(files, "WHOLE_BYTES", whole)
+        rows = files.scan_run_metrics(spark, str(tmp_path)).collect()
+        assert {(r.run_id, r.key, r.ts_ms, r.value, r.step) for r in rows} == want and len(rows) == len(want)
