@@ -46,3 +46,31 @@ def test_queries_make_no_table_of_weights(spark, monkeypatch):
     assert catalog.m2_nb_predict(spark, SF).count() == catalog.docs(spark, SF).count()
     assert catalog.e1_accuracy(spark, SF).count() == 2
     assert catalog_flows.e8_registry_eval(spark, SF).count() == 1
+
+
+FOLDS = [(1, 0), (2, 1), (2, 1), (3, 2), (4, 0), (6, 1), (7, 2), (5, 0), (None, 1)]
+
+
+@pytest.mark.parametrize("wide", [0, 64])
+def test_counts_give_the_grid_of_the_weights(spark, monkeypatch, wide):
+    monkeypatch.setattr(models, "WIDE_CLASSES", wide)
+    tf, idf, x = _both(spark)
+    lab = spark.createDataFrame([r for r in LABELS if r[1]] + [(4, "x"), (None, "y")], "doc_id long, label string")
+    folds = spark.createDataFrame(FOLDS, "doc_id long, fold int")
+    for v in (6, idf.selectExpr("count(1)").scalar()):
+        old = models.naive_bayes_grid(x, lab, folds, v, [1.0, 0.01], 3)
+        new = models.naive_bayes_grid_from_counts(tf, idf, lab, folds, v, [1.0, 0.01], 3)
+        assert sorted(map(tuple, old.collect())) == sorted(map(tuple, new.collect()))
+
+
+def test_grid_queries_make_no_table_of_weights(spark, monkeypatch):
+    from tests.conftest import SF
+    from textlane.plans import catalog_ml
+
+    def never(*a, **k):
+        raise AssertionError("a table of weights")
+
+    for module in (feat, models):
+        monkeypatch.setattr(module, "tfidf", never)
+    assert catalog_ml.m8_nb_best(spark, SF).count() == 1
+    assert catalog_ml.l1_pipeline_nb(spark, SF).count() == 2

@@ -191,19 +191,64 @@ def predict_naive_bayes(features: DataFrame, docs: DataFrame, model: NaiveBayesM
     return scores_to_predictions(naive_bayes_scores(features, docs, model, key, weight), key, digits)
 
 
+def _grid_classes(lab: DataFrame, fl: DataFrame, fold: str, key: str) -> tuple[dict, list]:
+    """Documents per (fold, class), up to one more than ``WIDE_CLASSES`` of them, and the classes."""
+    docs_of = {(r[fold], r["label"]): r["d"] for r in lab.join(fl, key).groupBy(fold, "label").agg(F.count(F.lit(1)).alias("d"))
+               .orderBy(fold, "label").limit(WIDE_CLASSES + 1).collect()}
+    return docs_of, sorted({c for _, c in docs_of})
+
+
 def _wide_grid(features: DataFrame, lab: DataFrame, fl: DataFrame, vocab_size: Column | int, alphas: list[float], k: int, classes: list,
                docs_of: dict, key: str, fold: str, weight: str) -> DataFrame:
     """``naive_bayes_grid`` with the sums of every (fold, class) in columns of the term's row."""
+    known = features.select(key, "term", weight).join(lab, key).join(fl, key)
+    held_sum = {(f, c): F.coalesce(F.sum(F.when((F.col(fold) == f) & (F.col("label") == F.lit(classes[c])), F.col(weight))), F.lit(0.0))
+                for f in range(k) for c in range(len(classes))}
+    sums = known.groupBy("term").agg(*[held.alias(f"_s{f}_{c}") for (f, c), held in held_sum.items()])
+    held_out = features.select(key, "term", F.col(weight).alias("_w")).join(fl, key)
+    return _grid_accuracy(sums, held_out, lab, fl, vocab_size, alphas, k, classes, docs_of, key, fold)
+
+
+def naive_bayes_grid_from_counts(tf: DataFrame, idf: DataFrame, labels: DataFrame, folds: DataFrame, vocab_size: Column | int,
+                                 alphas: list[float], k: int, key: str = "doc_id", label: str = "label", fold: str = "fold") -> DataFrame:
+    """``naive_bayes_grid`` on unit-length TF-IDF rows, from their counts ``(key, term, tf)`` and ``(term, idf)``.
+
+    The counts meet the norms, folds and labels of their documents once and are written so, by term; the table of weights is
+    never made.
+    """
+    lab, fl = labels.select(key, F.col(label).alias("label")), folds.select(key, fold)
+    docs_of, classes = _grid_classes(lab, fl, fold, key)
+    if not 0 < len(classes) * max(k, len(alphas)) <= WIDE_CLASSES >= len(docs_of):
+        return naive_bayes_grid(tfidf(tf, idf, key), labels, folds, vocab_size, alphas, k, key, label, fold)
+    raw, of_class = F.col("tf") * F.col("idf"), [f"_m{c}" for c in range(len(classes))]
+    norms = tf.join(idf.select("term", "idf"), "term").groupBy(key).agg(F.sqrt(F.sum(raw * raw)).alias("_norm"))
+    # how often a document's labels name each class: once the one it has, but keys may repeat
+    named = lab.groupBy(key).agg(*[F.count(F.when(F.col("label") == F.lit(c), 1)).cast("int").alias(name) for c, name in zip(classes, of_class, strict=True)])
+    of_doc = materialize(fl.join(norms, key).join(named, key, "left").na.fill(0, of_class), "nb-grid-docs")
+    rows = tf.join(of_doc, key).select(key, fold, "term", "tf", "_norm", *of_class)
+    rows = materialize(rows.sortWithinPartitions("term", key), "nb-grid-rows")
+    share = F.col("tf") / F.col("_norm")
+    held_sum = {(f, c): F.coalesce(F.sum(F.when(F.col(fold) == f, share * F.col(f"_m{c}"))), F.lit(0.0)) for f in range(k) for c in range(len(classes))}
+    sums = rows.groupBy("term").agg(*[held.alias(f"_s{f}_{c}") for (f, c), held in held_sum.items()]).join(idf.select("term", "idf"), "term")
+    sums = sums.select("term", "idf", *[(F.col(f"_s{f}_{c}") * F.col("idf")).alias(f"_s{f}_{c}") for f, c in held_sum])
+    norms = of_doc.select(key, fold, "_norm").distinct()
+    return _grid_accuracy(sums, rows.select(key, fold, "term", F.col("tf").alias("_w")), lab, fl, vocab_size, alphas, k, classes, docs_of, key,
+                          fold, norms)
+
+
+def _grid_accuracy(counts: DataFrame, held_out: DataFrame, lab: DataFrame, fl: DataFrame, vocab_size: Column | int, alphas: list[float], k: int,
+                   classes: list, docs_of: dict, key: str, fold: str, norms: DataFrame | None = None) -> DataFrame:
+    """Accuracy per alpha and fold from the sums of every (fold, class) per term and the rows ``(key, fold, term, _w)``.
+
+    With ``norms`` (key, fold, _norm) ``counts`` has an idf, and a weight is ``_w * idf / _norm``.
+    """
     # a scalar subquery can't stand where arrays are searched, so its one number is asked for
-    size = vocab_size if isinstance(vocab_size, int) else features.sparkSession.range(1).select(vocab_size).first()[0]
+    size = vocab_size if isinstance(vocab_size, int) else lab.sparkSession.range(1).select(vocab_size).first()[0]
     places, zero = [(f, c) for f in range(k) for c in range(len(classes))], F.lit(0.0)
-    known = features.select(key, "term", weight).join(lab, key).join(fl, key)
-    held_sum = {(f, c): F.coalesce(F.sum(F.when((F.col(fold) == f) & (F.col("label") == F.lit(classes[c])), F.col(weight))), zero)
-                for f, c in places}
-    counts = known.groupBy("term").agg(*[held_sum[p].alias(f"_s{p[0]}_{p[1]}") for p in places])
+    extra = ["idf"] if norms is not None else []
     # the training sums of a held-out fold: all folds' minus its own
     every = {c: sum((F.col(f"_s{f}_{c}") for f in range(1, k)), F.col(f"_s0_{c}")) for c in range(len(classes))}
-    counts = materialize(counts.select("term", *[(every[c] - F.col(f"_s{f}_{c}")).alias(f"_n{f}_{c}") for f, c in places]), "nb-grid-counts")
+    counts = materialize(counts.select("term", *extra, *[(every[c] - F.col(f"_s{f}_{c}")).alias(f"_n{f}_{c}") for f, c in places]), "nb-grid-counts")
     row = counts.agg(*[F.sum(F.when(F.col(f"_n{f}_{c}") > 0, F.col(f"_n{f}_{c}"))).alias(f"_n{f}_{c}") for f, c in places]).first()
     total = {(f, c): float(row[f"_n{f}_{c}"] or 0.0) for f, c in places}
     n_docs = {(f, c): sum(docs_of.get((g, classes[c]), 0) for g in range(k) if g != f) for f, c in places}
@@ -215,12 +260,13 @@ def _wide_grid(features: DataFrame, lab: DataFrame, fl: DataFrame, vocab_size: C
         return F.lit(math.log(a / (total[f, c] + a * size)) if size else 0.0)
 
     settings = [(i, c, float(a)) for i, a in enumerate(alphas) for c in range(len(classes))]
-    joined = features.select(key, "term", weight).join(fl, key).join(counts, "term", "left")
-    joined = joined.select(key, fold, weight, *[of_fold([F.col(f"_n{f}_{c}") for f in range(k)]).alias(f"_n{c}") for c in range(len(classes))])
+    joined = held_out.join(counts, "term", "left")
+    joined = joined.select(key, fold, (F.col("_w") * F.col("idf") if extra else F.col("_w")).alias("_w"), *[of_fold([F.col(f"_n{f}_{c}") for f in range(k)]).alias(f"_n{c}") for c in range(len(classes))])
     delta = {(i, c): F.when(F.col(f"_n{c}") > 0, F.log((F.col(f"_n{c}") + a) / (of_fold([F.lit(total[f, c]) for f in range(k)]) + a * size))
                             - of_fold([default(f, c, a) for f in range(k)])) for i, c, a in settings}
-    sums = joined.groupBy(key, fold).agg(F.sum(weight).alias("_sx"), *[F.sum(F.col(weight) * delta[i, c]).alias(f"_d{i}_{c}")
-                                                                      for i, c, _ in settings])
+    sums = joined.groupBy(key, fold).agg(F.sum("_w").alias("_sx"), *[F.sum(F.col("_w") * delta[i, c]).alias(f"_d{i}_{c}") for i, c, _ in settings])
+    if norms is not None:
+        sums = sums.join(norms, [key, fold]).select(key, fold, *[(F.col(c) / F.col("_norm")).alias(c) for c in sums.columns if c not in (key, fold)])
     all_docs = [sum(n_docs[f, c] for c in range(len(classes))) for f in range(k)]
     no_prior = F.lit(None).cast("double")       # a class without training rows in a fold is no candidate there
 
@@ -255,9 +301,7 @@ def naive_bayes_grid(features: DataFrame, labels: DataFrame, folds: DataFrame, v
     """
     lab = labels.select(key, F.col(label).alias("label"))
     fl = folds.select(key, fold)
-    docs_of = {(r[fold], r["label"]): r["d"] for r in lab.join(fl, key).groupBy(fold, "label").agg(F.count(F.lit(1)).alias("d"))
-               .orderBy(fold, "label").limit(WIDE_CLASSES + 1).collect()}
-    classes = sorted({c for _, c in docs_of})
+    docs_of, classes = _grid_classes(lab, fl, fold, key)
     if 0 < len(classes) * max(k, len(alphas)) <= WIDE_CLASSES >= len(docs_of):
         return _wide_grid(features, lab, fl, vocab_size, alphas, k, classes, docs_of, key, fold, weight)
     fold_ids = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold)

@@ -13,7 +13,7 @@ from textlane.operators import (features as feat, forest, metrics as met, mllib,
                                 topics)
 from textlane.operators.sparse_smote import smote_sparse
 from textlane.operators.text_chain import processed_text
-from textlane.plans.catalog import (PROBA_DIGITS, _r, docs, docs_by_id, quality_split, lang_split,
+from textlane.plans.catalog import (PROBA_DIGITS, _r, count_features, docs, docs_by_id, quality_split, lang_split,
                                     tfidf_features)
 from textlane.plans.stages import Stage, run_stages
 from textlane.session import IN_BLOCKS, fresh_path, materialize, settings, table
@@ -252,9 +252,17 @@ def l2_model_table(spark, d):
 
 
 def _nb_grid_means(x, split, v):
+    return _grid_means(split, lambda train, folds: models.naive_bayes_grid(x, train, folds, v, NB_ALPHAS, K_FOLDS))
+
+
+def _nb_grid_means_from_counts(spark, d, split):
+    tf, idf, v = count_features(spark, d)
+    return _grid_means(split, lambda train, folds: models.naive_bayes_grid_from_counts(tf, idf, train, folds, v, NB_ALPHAS, K_FOLDS))
+
+
+def _grid_means(split, grid):
     train = split.filter(F.col("split") == "train").select("doc_id", F.col("y").alias("label"))
-    folds = sampling.stratified_folds(train, "doc_id", "label", K_FOLDS, 37)
-    per_fold = models.naive_bayes_grid(x, train, folds, v, NB_ALPHAS, K_FOLDS)
+    per_fold = grid(train, sampling.stratified_folds(train, "doc_id", "label", K_FOLDS, 37))
     return per_fold.groupBy("alpha").agg(_r(F.avg("accuracy")).alias("mean_accuracy"))
 
 
@@ -266,14 +274,12 @@ def _nb_best(means: DataFrame) -> DataFrame:
 
 def m7_nb_grid(spark, d):
     """NB alpha grid with 5 stratified folds on the training rows; mean accuracy per alpha."""
-    x, _, _, v = tfidf_features(spark, d, materialize=True)
-    return _nb_grid_means(x, lang_split(spark, d), v).select("alpha", "mean_accuracy")
+    return _nb_grid_means_from_counts(spark, d, lang_split(spark, d)).select("alpha", "mean_accuracy")
 
 
 def m8_nb_best(spark, d):
     """Best score and best alpha of the NB grid; the earlier candidate wins a tie."""
-    x, _, _, v = tfidf_features(spark, d, materialize=True)
-    return _nb_best(_nb_grid_means(x, lang_split(spark, d), v))
+    return _nb_best(_nb_grid_means_from_counts(spark, d, lang_split(spark, d)))
 
 
 def _cv_train(spark, d):
