@@ -49,3 +49,17 @@ def test_tfidf_same_under_partition_counts(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_topic_step_writes_its_tables_by_term(spark, monkeypatch):
+    from tests.conftest import SF
+    from textlane.plans import catalog
+    plans, write = {}, catalog._materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+        return write(df, name)
+
+    monkeypatch.setattr(catalog, "_materialize", noted)
+    catalog._nmf_one_step(spark, SF)
+    assert all(plans[name].startswith("Sort [term#") and plans[name].endswith(", false") for name in ("tf", "nmf-x")), plans
